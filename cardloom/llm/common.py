@@ -41,22 +41,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def bounded_sample(df: DataFrame, label: str, limits: dict, key: str = "doc_id") -> list:
-    """Collects about limits[value] rows for each value of label, at most twice
-    that many.
+def bounded_sample(df: DataFrame, label: str, limits: dict, key: str = "doc_id") -> DataFrame:
+    """About limits[value] rows for each value of label, at most twice that many in all.
 
     Rows are chosen by a hash of the key, so the choice does not depend on
-    partitioning. The counts are taken over all rows; only the chosen rows
-    travel to the driver, and their number does not grow with the input.
+    partitioning. The counts are taken over all rows.
     """
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect() if r[0] in limits}
     if not counts:
-        return []
+        return df.limit(0)
     u = (F.xxhash64(F.col(key).cast("string"), F.lit("sample")).bitwiseAND(F.lit((1 << 52) - 1))) / F.lit(float(1 << 52))
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, limits[k] / max(n, 1))))])
     rows = df.where(F.col(label).isin(list(counts))).where(u < share[F.col(label)])
-    most = 2 * sum(limits[k] for k in counts)
-    return sorted(rows.limit(most).collect(), key=lambda r: str(r[key]))
+    return rows.limit(2 * sum(limits[k] for k in counts))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, limits: dict) -> list:
+    """Collects doc_id, text and label of a bounded sample of the labels, ordered by id.
+
+    The sample is drawn from the labels alone, so that only chosen documents'
+    texts leave their partitions; its size is bounded by the limits, which makes
+    it fit to broadcast.
+    """
+    one = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias(label))
+    chosen = bounded_sample(one, label, limits)
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").collect()
+    return sorted(rows, key=lambda r: (r["doc_id"], r["text"]))
 
 
 def fit_logistic(x, y, weight=None, l2: float = 1e-3, steps: int = 60):

@@ -5,10 +5,10 @@ Documents with equal shingle sets are one set first. Each distinct set gets
 bucket. A bucket links its members to its smallest id (a star); each star pair
 is confirmed on the full sets, and connected components of the confirmed links
 come from alternating large-star and small-star. Where a bucket still holds
-several components, the members outside its centre's component are compared, by
-signature and in blocks, with the bucket's other members, and the pairs that
-may reach the threshold are confirmed in the same way. So no bucket's pairs are
-all emitted, and none is capped.
+several components, the members outside its centre's component are compared, in
+blocks, with the bucket's other members: by signature, and then on the full
+sets. A block gives only links that join what was apart, so no bucket's pairs
+are all emitted, and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -137,9 +137,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: in
     Only texts of documents in a pair are hashed again; a set travels once for
     each pair, and the pairs of a common member are split by skew handling.
     """
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    sets = cut_lineage(full_sets(texts, words))
+    sets = sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))), docs, words)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -183,44 +181,74 @@ def components(links: DataFrame) -> DataFrame:
     return least.union(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def leftover_pairs(members: DataFrame, joined: DataFrame, sigs: DataFrame, size: int, block: int = 512, least: float = 0.5625) -> DataFrame:
-    """Pairs of one bucket in different components that no star has compared.
+def sets_of(ids: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """Rows id, shingles of the documents in ids (doc_id)."""
+    texts = docs.select("doc_id", "text").join(ids.distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return cut_lineage(full_sets(texts, words))
 
-    Members outside the centre's component are the rest; every such pair has
-    one of them, so blocks of the rest meet blocks of all members. A pair goes
-    on if at least `least` of the minima agree: with 128 minima a pair at 0.75
-    falls short with a chance of about one in a million.
+
+def leftover_links(members: DataFrame, joined: DataFrame, sigs: DataFrame, docs: DataFrame, size: int, rows: int, words: int = WORDS, percent: int = PERCENT, block: int = 256, least: float = 0.5625) -> DataFrame | None:
+    """Confirmed links between members of a bucket that the stars left in different components.
+
+    Members outside the centre's component are the rest; every such pair has one
+    of them, so blocks of the rest meet blocks of all members, each pair in the
+    first band that it shares. A pair whose minima agree in `least` of the
+    places (with 128 minima a pair at 0.75 falls short with a chance of about
+    one in a million) is confirmed on the full sets, unless the block has
+    already joined the two; so a block gives fewer links than it has members.
     """
-    m = members.join(joined.select(F.col("id"), F.col("component")), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    m = members.join(joined.select("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     centre = joined.select(F.col("id").alias("centre"), F.col("component").alias("centre_component"))
-    m = m.join(centre, "centre", "left").withColumn("centre_component", F.coalesce("centre_component", "centre"))
-    m = m.withColumn("rest", F.col("component") != F.col("centre_component"))
+    m = m.join(centre, "centre", "left").withColumn("rest", F.col("component") != F.coalesce("centre_component", "centre"))
     sizes = m.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("rest").alias("n_rest")).where("n_rest > 0 and n > 2")
-    m = m.join(sizes, "bucket").join(sigs, "id")
+    m = cut_lineage(m.select("bucket", "band", "id", "component", "rest").join(sizes, "bucket"))
+    if m.isEmpty():
+        return None
+    full = sets_of(m.select(F.col("id").alias("doc_id")), docs, words)
     m = m.withColumns({"n_all": F.ceil(F.col("n") / block).cast("int"), "n_rest": F.ceil(F.col("n_rest") / block).cast("int")})
     place = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    cols = ["bucket", "id", "component", "centre", "sig"]
+    cols = ["bucket", "band", "id", "component"]
     rest = m.where("rest").select(*cols, F.lit(True).alias("rest"), place("n_rest").alias("i"), F.explode(every("n_all")).alias("j"))
     whole = m.select(*cols, F.lit(False).alias("rest"), F.explode(every("n_rest")).alias("i"), place("n_all").alias("j"))
+    dealt = rest.unionByName(whole).join(sigs, "id").join(full, "id")
 
     def compare(table):
         import numpy as np
         import pyarrow as pa
 
-        id_, comp, r, centre = (table.column(c).to_numpy() for c in ("id", "component", "rest", "centre"))
+        id_, comp, r = (table.column(c).to_numpy() for c in ("id", "component", "rest"))
+        band = table.column("band")[0].as_py()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(id_), size)
-        r = r.astype(bool)
-        left, right = np.flatnonzero(r), np.flatnonzero(~r)
-        a, b = [id_[:0]], [id_[:0]]
-        for x in left:
-            near = right[(comp[right] != comp[x]) & (id_[right] != centre[x])]
-            near = near[(sig[near] == sig[x]).sum(1) >= least * size]
-            a.append(np.minimum(id_[near], id_[x]))
-            b.append(np.maximum(id_[near], id_[x]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-    return rest.unionByName(whole).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+        sets = [np.asarray(x.values) for x in table.column("shingles")]
+        head: dict[int, int] = {}
+
+        def find(x):
+            while head.get(x, x) != x:
+                head[x] = x = head.get(head[x], head[x])
+            return x
+
+        out = []
+        right = np.flatnonzero(~r.astype(bool))
+        for x in np.flatnonzero(r.astype(bool)):
+            near = right[comp[right] != comp[x]]
+            same = sig[near] == sig[x]
+            alike = same.sum(1)
+            first = same[:, : (band + 1) * rows].reshape(len(near), band + 1, rows).all(2).argmax(1) == band
+            fit = np.flatnonzero((alike >= least * size) & first)
+            for k in fit[np.argsort(-alike[fit], kind="stable")]:
+                y = near[k]
+                one, two = find(int(comp[x])), find(int(comp[y]))
+                if one == two:
+                    continue
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
+                    head[max(one, two)] = min(one, two)
+                    out.append((int(id_[x]), int(id_[y])))
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -236,17 +264,15 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
     known = signed.where("set_key is not null and doc_id is not null")
     sets = cut_lineage(known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
     part = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * (4 * rows) + 1, F.lit(4 * rows))))
-    banded = sets.select("id", F.explode(part).alias("bucket"))
+    banded = sets.select("id", F.posexplode(part).alias("band", "bucket"))
     centres = banded.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last").select("bucket", "centre")
     members = cut_lineage(banded.join(centres, "bucket"))
     stars = cut_lineage(members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
     links = cut_lineage(confirmed(stars, docs, words, percent))
     joined = cut_lineage(components(links))
-    more = leftover_pairs(members, joined, sets.select("id", "sig"), bands * rows).join(stars, ["a", "b"], "left_anti")
-    more = cut_lineage(more)
-    if not more.isEmpty():
-        links = cut_lineage(links.union(confirmed(more, docs, words, percent)))
-        joined = cut_lineage(components(links))
+    more = leftover_links(members, joined, sets.select("id", "sig"), docs, bands * rows, rows, words, percent)
+    if more is not None:
+        joined = cut_lineage(components(links.union(cut_lineage(more))))
     whole = known.join(sets.select("set_key", "id"), "set_key").join(joined, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component")).groupBy("doc_id").agg(F.min("component").alias("component_id"))
     out = signed.join(whole, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -6,12 +6,28 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import decontam, linededup, neardup, packing, toxicity
+from cardloom.llm import decontam, fingerprint, langid, linededup, neardup, packing, pii, quality, secret_scan, toxicity
 from cardloom.llm.common import table
 
 TOKENIZER = os.environ.get("CARDLOOM_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -28,6 +44,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -72,5 +92,5 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = compon
 FROM documents d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op5_pack_sequences, op6_benchmark_decontamination, op7_line_dedup, op9_toxicity, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_language, op4_personal_data, op5_pack_sequences, op6_benchmark_decontamination, op7_line_dedup, op8_secrets, op9_toxicity, op10_near_duplicates)}
 ORACLES = {"op6_benchmark_decontamination": OP6_SQL, "op7_line_dedup": OP7_SQL, "op10_near_duplicates": OP10_SQL}

@@ -20,7 +20,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import bounded_sample, fit_logistic, fold, text_slices
+from cardloom.llm.common import fit_logistic, fold, labelled_texts, text_slices
 
 #: Classes of common English words.
 INSULTS = ("idiot", "idiots", "moron", "morons", "imbecile", "stupid", "dumb", "worthless", "pathetic", "disgusting", "scum", "trash", "loser", "losers", "clown", "filth", "vermin", "jerk", "bastard", "bitch", "asshole", "retard", "subhuman")
@@ -30,56 +30,84 @@ TARGETS = ("you", "your", "yours", "yourself", "u", "ur", "they", "them", "he",
 NEGATIONS = ("not", "never", "isn", "aren", "wasn", "weren", "don", "doesn", "didn", "without", "hardly")
 REPORTS = ("said", "says", "say", "wrote", "writes", "quoted", "reported", "claimed", "called", "alleged", "according")
 FORMS = ("plain", "targeted", "negated", "reported", "threat")
-TOXIC, CLEAN = 2000, 4000  # most labelled documents to learn from
+TOXIC, CLEAN = 1000, 2000  # most labelled documents to learn from
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:\n|]")
 
 
-def learn_lexicon(toxic: list[str], clean: list[str], support: int = 4, odds: float = 40.0) -> list[tuple[str, bool]]:
-    """(entry, is a stem) pairs that mark toxic documents.
+def distinct_texts(texts: list[str], least: int = 2, kept: int = 12) -> list[str]:
+    """Leaves out texts that share `least` of their `kept` lowest 3-word hashes with one before: copies are not evidence."""
+    from zlib import crc32
+
+    seen: dict[int, set[int]] = {}
+    out = []
+    for n, t in enumerate(texts):
+        w = WORD.findall(t.lower())
+        low = sorted({crc32(" ".join(w[i : i + 3]).encode()) for i in range(max(1, len(w) - 2))})[:kept]
+        shared: dict[int, int] = {}
+        for h in low:
+            for m in seen.get(h, ()):
+                shared[m] = shared.get(m, 0) + 1
+        if max(shared.values(), default=0) >= min(least, len(low)):
+            continue
+        out.append(t)
+        for h in low:
+            seen.setdefault(h, set()).add(n)
+    return out
 
-    An entry must occur in at least `support` toxic documents with as many
-    different neighbouring words, so that copies of one document do not count as
-    evidence, and be `odds` times as frequent there as in clean documents. Of
-    nested stems the shortest stays; a stem with one continuation is that word.
-    """
-    from collections import defaultdict
 
-    def docs_of(texts):
-        for n, t in enumerate(texts):
-            yield n, WORD.findall(t.lower())
+def learn_lexicon(toxic: list[str], clean: list[str], support: int = 3, odds: float = 8.0, evidence: float = 11.5, longest: int = 9) -> list[tuple[str, bool, float]]:
+    """(entry, is a stem, weight) triples that mark toxic documents.
 
-    docs, contexts, ends = defaultdict(set), defaultdict(set), defaultdict(set)
-    for n, words in docs_of(toxic):
+    An entry must occur in `support` toxic documents with as many different
+    neighbouring words, so that copies of one document do not count as evidence,
+    and be `odds` times as frequent there as in clean documents, by more than
+    chance explains (`evidence`: the log-likelihood ratio). Its weight is the
+    logarithm of the odds. Of nested stems that with the most evidence stays; a
+    stem with one continuation is that word.
+    """
+    from collections import Counter, defaultdict
+    from math import log
+
+    def prefixes(words):
+        return {w[:k] for w in set(words) for k in range(3, min(len(w), longest) + 1)} | {w for w in words if len(w) > longest}
+
+    toxic, clean = distinct_texts(toxic), distinct_texts(clean)
+    cut = [WORD.findall(t.lower()) for t in toxic]
+    in_toxic = Counter(p for words in cut for p in prefixes(words))
+    docs = {p: n for p, n in in_toxic.items() if n >= support}
+    del in_toxic
+    seen = Counter(p for t in clean for p in prefixes(WORD.findall(t.lower())) if p in docs)
+    share = len(toxic) / (len(toxic) + len(clean))
+
+    def weight(p):
+        return log((docs[p] / len(toxic)) / ((seen[p] + 0.5) / len(clean)))
+
+    def ratio(p):
+        n, c = docs[p], seen[p]
+        q = n / (n + c)
+        return n * log(q / share) + (c * log((1 - q) / (1 - share)) if c else 0.0)
+
+    good = {p for p in docs if weight(p) >= log(odds) and ratio(p) >= evidence}
+    contexts, ends = defaultdict(set), defaultdict(set)
+    for words in cut:
         for i, w in enumerate(words):
-            context = (words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else "")
-            for k in range(3, len(w) + 1):
-                p = w[:k]
-                if n not in docs[p] and context not in contexts[p]:
-                    docs[p].add(n)
-                    contexts[p].add(context)
+            for p in prefixes((w,)) & good:
+                contexts[p].add((words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
                 ends[p].add(w)
-    held = {p for p in docs if len(docs[p]) >= support}
-    seen: dict[str, int] = defaultdict(int)
-    for _, words in docs_of(clean):
-        mine = {w[:k] for w in set(words) for k in range(3, len(w) + 1)} & held
-        for p in mine:
-            seen[p] += 1
-    rate = len(clean) / max(1, len(toxic))
-    good = {p for p in held if len(docs[p]) * rate >= odds * (seen[p] + 0.5) and seen[p] <= 0.02 * rate * len(docs[p])}
-    out = set()
-    for p in good:
-        if any(p[:k] in good for k in range(3, len(p))):
+    out, taken = [], set()
+    for p in sorted((p for p in good if len(contexts[p]) >= support), key=lambda p: (-docs[p] * weight(p), p)):
+        if any(p[:k] in taken for k in range(3, len(p))) or any(x.startswith(p) for x in taken):
             continue
-        words = {w for w in ends[p] if sum(w in x for x in (ends[p],))}
-        out.add((next(iter(words)), False) if len(words) == 1 else (p, True))
+        taken.add(p)
+        out.append((min(ends[p]), False, weight(p)) if len(ends[p]) == 1 else (p, True, weight(p)))
     return sorted(out)
 
 
 class Grammar:
-    """The composed transducers; `forms` counts a text's clauses by form."""
+    """The composed transducers; `forms` weighs a text's clauses by form."""
 
-    def __init__(self, learned: list[tuple[str, bool]]):
+    def __init__(self, learned: list[tuple[str, bool, float]]):
         self.learned = learned
         self._automaton = None
 
@@ -90,36 +118,44 @@ class Grammar:
         if self._automaton is None:
             import ahocorasick
 
+            entries = {(w, False): ("insult", KNOWN) for w in INSULTS} | {(w, False): ("threat", KNOWN) for w in THREATS} | {(w, stem): ("insult", x) for w, stem, x in self.learned}
+            words: dict[str, list] = {}
+            for (w, stem), (kind, x) in entries.items():
+                words.setdefault(w, []).append((stem, kind, x))
             a = ahocorasick.Automaton()
-            for w, kind in [*((w, "insult") for w in INSULTS), *((w, "threat") for w in THREATS), *((w, "stem" if stem else "insult") for w, stem in self.learned)]:
-                a.add_word(w, (len(w), kind))
+            for w, own in words.items():
+                a.add_word(w, (len(w), own))
             a.make_automaton()
             self._automaton = a
         return self._automaton
 
-    def hits(self, text: str) -> list[tuple[int, int, str]]:
-        """(start, end, class) of the lexicon's words, text being lower-cased."""
+    def hits(self, text: str) -> list[tuple[int, int, str, float]]:
+        """(start, end, class, weight) of the lexicon's words, text being lower-cased."""
         found = []
-        for end, (n, kind) in self.automaton().iter(text):
+        for end, (n, own) in self.automaton().iter(text):
             start = end - n + 1
             if start and text[start - 1].isalpha():
                 continue
-            if kind != "stem" and end + 1 < len(text) and text[end + 1].isalpha():
-                continue
-            found.append((start, end + 1, "insult" if kind == "stem" else kind))
+            ends = end + 1 == len(text) or not text[end + 1].isalpha()
+            best = max((x for x in own if x[0] or ends), key=lambda x: x[2], default=None)
+            if best:
+                found.append((start, end + 1, best[1], best[2]))
         return found
 
-    def forms(self, text: str) -> list[int]:
-        """Number of matches by form; the five forms in FORMS' order."""
+    def forms(self, text: str) -> list[float]:
+        """Summed weights by form, in FORMS' order; a word said again in the same form counts once."""
         text = text.lower()
-        count = [0] * len(FORMS)
-        for start, end, kind in self.hits(text):
+        weight = [0.0] * len(FORMS)
+        said = set()
+        for start, end, kind, x in self.hits(text):
+            word = (m := WORD.match(text, start)) and m.group()
             before = [m.group() for m in WORD.finditer(CLAUSE.split(text[max(0, start - 80) : start])[-1])]
             after = [m.group() for m in WORD.finditer(CLAUSE.split(text[end : end + 80])[0])]
             form = clause_form(kind, before[-6:], after[:3])
-            if form is not None:
-                count[form] += 1
-        return count
+            if form is not None and (word, form) not in said:
+                said.add((word, form))
+                weight[form] += x
+        return weight
 
 
 def clause_form(kind: str, before: list[str], after: list[str]) -> int | None:
@@ -145,13 +181,13 @@ def clause_form(kind: str, before: list[str], after: list[str]) -> int | None:
     return 2 if denied else 3 if "reported" in state else 1 if aimed else 0
 
 
-PRIOR = (3.0, 4.0, -0.5, 0.5, 4.0)  # weights of the forms before any labels are seen
-
+PRIOR = (1.0, 1.2, 0.1, 0.3, 1.2)  # factors of the forms before any labels are seen
+KNOWN = 4.0  # weight of a word of the short list that the labels say nothing about
+MOST = 12.0
 
-def features(forms: list[int]) -> list[float]:
-    import math
 
-    return [math.log1p(n) for n in forms]
+def features(forms: list[float]) -> list[float]:
+    return [min(x, MOST) for x in forms]
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN):
@@ -161,17 +197,16 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLE
     """
     import numpy as np
 
-    known = docs.select("doc_id", "text").join(labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id")
-    rows = bounded_sample(known.where("text is not null"), "toxic", {1: toxic, 0: clean})
+    rows = labelled_texts(docs, labels, "toxic", {1: toxic, 0: clean})
     texts = {k: [r["text"] for r in rows if r["toxic"] == k] for k in (0, 1)}
     if not texts[0] or not texts[1]:
-        return Grammar([]), [*PRIOR, -4.0]
+        return Grammar([]), [*PRIOR, -3.5]
     grammar = Grammar(learn_lexicon(texts[1], texts[0]))
     x = np.array([features(grammar.forms(t)) for k in (0, 1) for t in texts[k]])
     y = np.array([k for k in (0, 1) for _ in texts[k]])
-    # a few invented examples of each form hold its weight near the prior
-    extra = np.eye(len(FORMS)) * np.log(2)
-    belief = 1 / (1 + np.exp(-(np.array(PRIOR) - 1.5)))
+    # a few invented clauses of each form hold its factor near the prior
+    extra = np.eye(len(FORMS)) * KNOWN
+    belief = 1 / (1 + np.exp(-(KNOWN * np.array(PRIOR) - 3.5)))
     x = np.vstack([x, extra, extra])
     y = np.concatenate([y, np.ones(len(FORMS)), np.zeros(len(FORMS))])
     w = np.concatenate([np.ones(len(y) - 2 * len(FORMS)), 3 * belief, 3 * (1 - belief)])
@@ -195,12 +230,12 @@ def score(docs: DataFrame, grammar: Grammar, weights: list[float]) -> DataFrame:
                 forms = [grammar.forms(t) for t in texts]
                 z = [sum(a * b for a, b in zip(weights, features(f), strict=False)) + weights[-1] for f in forms]
                 s = [1 / (1 + math.exp(-max(-30.0, min(30.0, v)))) for v in z]
-                yield pa.RecordBatch.from_arrays([own.slice(first, len(texts)), pa.array(s), pa.array(forms, pa.list_(pa.int32()))], ["doc_id", "score", "forms"])
+                yield pa.RecordBatch.from_arrays([own.slice(first, len(texts)), pa.array(s), pa.array(forms, pa.list_(pa.float64()))], ["doc_id", "score", "forms"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, forms array<int>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, forms array<double>")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learns on folds 0, 1 and 3 of crc32(doc_id) mod 4 and scores all documents."""
-    grammar, weights = fit(docs.where(fold("doc_id", 4) != 2), labels)
+    grammar, weights = fit(docs, labels.where(fold("doc_id", 4) != 2))
     return score(docs, grammar, weights).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "forms")
