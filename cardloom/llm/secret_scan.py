@@ -86,16 +86,17 @@ def labelled_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
     plain = pick(COMMON[:13], r)
     cut = lambda s, low, more: F.substring(s, F.lit(1), (low + r % more).cast("int"))
     quoted = lambda v: F.concat(F.lit('"'), v, F.lit('"'))
+    finding = lambda *c: F.struct(*[x.alias(name) for x, name in zip(c, ("value", "word", "before", "before2"), strict=True)])
     secret = (
-        F.when(kind == 0, F.struct(F.substring(h, 1, 40).alias("value"), quoted(F.substring(h, 1, 40)).alias("word"), F.lit("=").alias("before"), key.alias("before2")))
-        .when(kind == 1, F.struct(cut(h, 16, 25), F.concat(key, F.lit("="), cut(h, 16, 25)), plain, plain))
-        .when(kind == 2, F.struct(F.concat(F.lit("AKIA"), F.upper(F.substring(b64, 1, 16))), F.concat(F.lit("AKIA"), F.upper(F.substring(b64, 1, 16))), plain, plain))
-        .when(kind == 3, F.struct(F.concat(F.lit("ghp_"), F.substring(b64, 1, 36)), F.concat(F.lit("ghp_"), F.substring(b64, 1, 36)), plain, plain))
-        .when(kind == 4, F.struct(cut(b64, 16, 24), quoted(cut(b64, 16, 24)), F.lit(":"), key))
-        .when(kind == 5, F.struct(cut(b64, 14, 20), F.concat(key, F.lit(":"), cut(b64, 14, 20)), plain, plain))
-        .when(kind == 6, F.struct(cut(b64, 20, 20), cut(b64, 20, 20), F.concat(key, F.lit(":")), plain))
-        .when(kind == 7, F.struct(F.concat(F.lit("sk-"), cut(b64, 24, 16)), F.concat(F.lit("sk-"), cut(b64, 24, 16)), plain, plain))
-        .otherwise(F.struct(cut(h, 24, 17), cut(h, 24, 17), F.lit("="), key))
+        F.when(kind == 0, finding(F.substring(h, 1, 40), quoted(F.substring(h, 1, 40)), F.lit("="), key))
+        .when(kind == 1, finding(cut(h, 16, 25), F.concat(key, F.lit("="), cut(h, 16, 25)), plain, plain))
+        .when(kind == 2, finding(F.concat(F.lit("AKIA"), F.upper(F.substring(b64, 1, 16))), F.concat(F.lit("AKIA"), F.upper(F.substring(b64, 1, 16))), plain, plain))
+        .when(kind == 3, finding(F.concat(F.lit("ghp_"), F.substring(b64, 1, 36)), F.concat(F.lit("ghp_"), F.substring(b64, 1, 36)), plain, plain))
+        .when(kind == 4, finding(cut(b64, 16, 24), quoted(cut(b64, 16, 24)), F.lit(":"), key))
+        .when(kind == 5, finding(cut(b64, 14, 20), F.concat(key, F.lit(":"), cut(b64, 14, 20)), plain, plain))
+        .when(kind == 6, finding(cut(b64, 20, 20), cut(b64, 20, 20), F.concat(key, F.lit(":")), plain))
+        .when(kind == 7, finding(F.concat(F.lit("sk-"), cut(b64, 24, 16)), F.concat(F.lit("sk-"), cut(b64, 24, 16)), plain, plain))
+        .otherwise(finding(cut(h, 24, 17), cut(h, 24, 17), F.lit("="), key))
     )
     other = pick(HARMLESS, r)
     uuid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
@@ -106,15 +107,15 @@ def labelled_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
     symbols = F.concat(plain, F.lit("."), F.substring(h, 1, 4), F.lit("!!"), other)
     blank = F.concat(pick(("xxxxxxxx", "example-", "changeme", "00000000", "redacted"), r), (r % 100000).cast("string"), F.lit("0000"))
     harmless = (
-        F.when(kind == 0, F.struct(F.substring(h, 1, 40).alias("value"), F.substring(h, 1, 40).alias("word"), pick(("commit", "sha1", "revision", "checksum"), r).alias("before"), plain.alias("before2")))
-        .when(kind == 1, F.struct(uuid, uuid, other, plain))
-        .when(kind == 2, F.struct(number, number, plain, plain))
-        .when(kind == 3, F.struct(path, path, other, plain))
-        .when(kind == 4, F.struct(made, made, plain, other))
-        .when(kind == 5, F.struct(mail, mail, plain, plain))
-        .when(kind == 6, F.struct(blank, F.concat(key, F.lit("="), blank), plain, plain))
-        .when(kind == 7, F.struct(symbols, symbols, plain, other))
-        .otherwise(F.struct(F.md5(h), F.concat(F.lit("md5:"), F.md5(h)), pick(("md5", "digest", "hash"), r), plain))
+        F.when(kind == 0, finding(F.substring(h, 1, 40), F.substring(h, 1, 40), pick(("commit", "sha1", "revision", "checksum"), r), plain))
+        .when(kind == 1, finding(uuid, uuid, other, plain))
+        .when(kind == 2, finding(number, number, plain, plain))
+        .when(kind == 3, finding(path, path, other, plain))
+        .when(kind == 4, finding(made, made, plain, other))
+        .when(kind == 5, finding(mail, mail, plain, plain))
+        .when(kind == 6, finding(blank, F.concat(key, F.lit("="), blank), plain, plain))
+        .when(kind == 7, finding(symbols, symbols, plain, other))
+        .otherwise(finding(F.md5(h), F.concat(F.lit("md5:"), F.md5(h)), pick(("md5", "digest", "hash"), r), plain))
     )
     rows = spark.range(n).select("id", (i % 2 == 0).cast("double").alias("label"), F.when(i % 2 == 0, secret).otherwise(harmless).alias("c"))
     return rows.select("label", "c.*", F.lit("").alias("after"))
