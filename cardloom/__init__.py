@@ -1,0 +1 @@
+"""Knowledge-card pipelines and training-data operators on Spark."""
