@@ -70,7 +70,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, limits: dict)
 
 
 def fit_logistic(x, y, weight=None, l2: float = 1e-3, steps: int = 60):
-    """Newton's method for a small logistic regression; returns weights, the last is the bias."""
+    """Damped Newton's method for a small logistic regression; returns weights, the last is the bias."""
     import numpy as np
 
     x = np.hstack([np.asarray(x, float), np.ones((len(x), 1))])
@@ -80,14 +80,22 @@ def fit_logistic(x, y, weight=None, l2: float = 1e-3, steps: int = 60):
     b = np.zeros(x.shape[1])
     ridge = l2 * len(y) * np.eye(x.shape[1])
     ridge[-1, -1] = 1e-9
+
+    def loss(b):
+        z = x @ b
+        return (w * (np.logaddexp(0, z) - y * z)).sum() + 0.5 * b @ ridge @ b
+
+    now = loss(b)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
         g = x.T @ (w * (p - y)) + ridge @ b
         h = (x * (w * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge
         step = np.linalg.solve(h, g)
-        b = b - np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        while np.abs(step).max() > 1e-9 and (then := loss(b - step)) > now:
+            step = step / 2
+        if np.abs(step).max() <= 1e-9:
             break
+        b, now = b - step, then
     return b
 
 

@@ -53,7 +53,7 @@ class LineRuns:
     """The levelled runs, as bucketed tables of the session's warehouse."""
 
     def __init__(self, spark: SparkSession, buckets: int = 32, fanout: int = 4, min_chars: int = MIN_CHARS):
-        self.spark, self.buckets, self.fanout, self.min_chars = spark, buckets, fanout, min_chars
+        self.spark, self.buckets, self.fanout, self.min_chars = spark, buckets, max(2, fanout), min_chars
         self.levels: list[list[str]] = []
 
     def _write(self, run: DataFrame, level: int) -> None:

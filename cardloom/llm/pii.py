@@ -63,6 +63,11 @@ my address is {email:dave at example dot com} , thanks
 mail {email:eve.stone [at] example.com} or call
 send it to {email:frank_1 (at) mail.example.org} please
 or {email:gina @ example . com} instead
+write {email:kim dot li at web dot example dot com} today
+ask {email:mo at net dot example dot org} first
+and {email:pat dot roe at box dot example dot net} too
+mail {email:ria dot sol at post dot example dot com} now
+write us , {email:ugo at home dot example dot org} , soon
 e-mail {email:h.ito AT mail DOT example DOT jp} now
 call {phone:(020) 7946 0958} after nine
 phone {phone:555-713-4420} or write

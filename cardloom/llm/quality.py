@@ -104,9 +104,9 @@ def fit(docs: DataFrame, labels: DataFrame, good: int = GOOD, bad: int = BAD) ->
     x = np.array([model.features(t) for k in (0, 1) for t in texts[k][1::2]])
     y = np.array([k for k in (0, 1) for _ in texts[k][1::2]])
     w = np.where(y == 1, counts[1] / max(1, (y == 1).sum()), counts[0] / max(1, (y == 0).sum()))
-    scale = x.std(0) + 1e-9
-    b = fit_logistic(x / scale, y, w, l2=1e-4)
-    model.weights = [*(b[:-1] / scale).tolist(), float(b[-1])]
+    mean, scale = x.mean(0), x.std(0) + 1e-9
+    b = fit_logistic((x - mean) / scale, y, w, l2=1e-3)
+    model.weights = [*(b[:-1] / scale).tolist(), float(b[-1] - (b[:-1] * mean / scale).sum())]
     return model
 
 
