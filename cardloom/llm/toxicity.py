@@ -2,7 +2,7 @@
 
 Three transducers are composed. The lexicon transducer rewrites a text as a
 tape of classes: insult, threat, target, negation, reported speech, clause end,
-other words. Its insult entries are whole words or stems; besides a short list
+other words. Its insult entries are whole words or stems (which match longer words only); besides a short list
 of common ones they are learned from labelled documents. The clause transducer
 reads the tape and gives each clause with an insult or threat one of the forms
 plain, targeted, negated and reported. The weight transducer turns the forms of
@@ -63,21 +63,22 @@ def learn_lexicon(toxic: list[str], clean: list[str], support: int = 3, odds: fl
     neighbouring words, so that copies of one document do not count as evidence,
     and be `odds` times as frequent there as in clean documents, by more than
     chance explains (`evidence`: the log-likelihood ratio). Its weight is the
-    logarithm of the odds. Of nested stems that with the most evidence stays; a
-    stem with one continuation is that word.
+    logarithm of the odds. A stem is counted where a longer word has it, for the
+    stem itself may be a common word. Of nested entries that with the most
+    evidence stays; a stem with one continuation is that word.
     """
     from collections import Counter, defaultdict
     from math import log
 
-    def prefixes(words):
-        return {w[:k] for w in set(words) for k in range(3, min(len(w), longest) + 1)} | {w for w in words if len(w) > longest}
+    def entries(words):  # stems end in *
+        return {w[:k] + "*" for w in set(words) for k in range(3, min(len(w) - 1, longest) + 1)} | {w for w in words if len(w) >= 3}
 
     toxic, clean = distinct_texts(toxic), distinct_texts(clean)
     cut = [WORD.findall(t.lower()) for t in toxic]
-    in_toxic = Counter(p for words in cut for p in prefixes(words))
+    in_toxic = Counter(p for words in cut for p in entries(words))
     docs = {p: n for p, n in in_toxic.items() if n >= support}
     del in_toxic
-    seen = Counter(p for t in clean for p in prefixes(WORD.findall(t.lower())) if p in docs)
+    seen = Counter(p for t in clean for p in entries(WORD.findall(t.lower())) if p in docs)
     share = len(toxic) / (len(toxic) + len(clean))
 
     def weight(p):
@@ -92,15 +93,15 @@ def learn_lexicon(toxic: list[str], clean: list[str], support: int = 3, odds: fl
     contexts, ends = defaultdict(set), defaultdict(set)
     for words in cut:
         for i, w in enumerate(words):
-            for p in prefixes((w,)) & good:
+            for p in entries((w,)) & good:
                 contexts[p].add((words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
                 ends[p].add(w)
     out, taken = [], set()
     for p in sorted((p for p in good if len(contexts[p]) >= support), key=lambda p: (-docs[p] * weight(p), p)):
-        if any(p[:k] in taken for k in range(3, len(p))) or any(x.startswith(p) for x in taken):
+        if any(p[:k] + "*" in taken for k in range(3, len(p))) or p[-1] == "*" and any(x.startswith(p[:-1]) and x != p[:-1] for x in taken):
             continue
         taken.add(p)
-        out.append((min(ends[p]), False, weight(p)) if len(ends[p]) == 1 else (p, True, weight(p)))
+        out.append((min(ends[p]), False, weight(p)) if len(ends[p]) == 1 else (p[:-1], True, weight(p)))
     return sorted(out)
 
 
@@ -137,7 +138,7 @@ class Grammar:
             if start and text[start - 1].isalpha():
                 continue
             ends = end + 1 == len(text) or not text[end + 1].isalpha()
-            best = max((x for x in own if x[0] or ends), key=lambda x: x[2], default=None)
+            best = max((x for x in own if x[0] != ends), key=lambda x: x[2], default=None)
             if best:
                 found.append((start, end + 1, best[1], best[2]))
         return found
