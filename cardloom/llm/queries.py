@@ -17,7 +17,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprint.classes(fingerprint.fingerprints(table(spark, sf_dir, "documents")))
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:

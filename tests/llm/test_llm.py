@@ -216,6 +216,49 @@ def test_fingerprints(spark):
     assert fingerprint.fingerprints(frame(spark, [])).count() == 0
 
 
+def test_fingerprint_classes(spark, tmp_path):
+    from cardloom.llm.queries import QUERIES
+
+    rng = random.Random(9)
+    texts = [sentence(rng, 80) for _ in range(30)]
+    for t in texts[:30]:  # copies, some of them alike enough
+        w = t.split()
+        for k in rng.sample(range(80), 4):
+            w[k] = "edit" + str(rng.randrange(10**6))
+        texts.append(" ".join(w))
+    texts += [texts[0], None, ""]
+    frame(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r["doc_id"]: r for r in QUERIES["op2_fingerprints"](spark, str(tmp_path)).collect()}
+    assert len(rows) == len(texts)
+    bits = fingerprint.signed([t or "" for t in texts])
+    head = list(range(len(texts)))
+    for i in range(len(texts)):  # brute force
+        for j in range(i):
+            if fingerprint.likeness(bits[i : i + 1], bits[j : j + 1])[0] >= 0.75:
+                x, y = head[i], head[j]
+                head = [min(x, y) if h in (x, y) else h for h in head]
+    linked = [i for i in range(len(texts)) if head.count(head[i]) > 1]
+    assert len(linked) >= 20
+    assert sum(rows[i]["class_id"] == head[i] for i in range(len(texts))) >= len(texts) - 0.1 * len(linked)
+    assert rows[62]["class_id"] == 61 and rows[60]["class_id"] == 0
+
+
+def test_leftover_members_are_linked(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    b = 2 * rng.integers(0, 2, 512) - 1
+    far, close = b.copy(), b.copy()
+    far[rng.choice(512, 150, False)] *= -1  # not alike to b, but in buckets with it
+    close[:] = far
+    close[rng.choice(512, 60, False)] *= -1
+    prints = spark.createDataFrame(list(enumerate(fingerprint.hexed(np.array([b, far, close], np.int8)))), "doc_id long, fingerprint string")
+    # one band of no digits puts all in one bucket, whose centre is 0
+    for block in (1, 1024):
+        got = {(r["a"], r["b"]) for r in fingerprint.near_pairs(prints, bands=1, digits=0, block=block).collect()}
+        assert got == {(1, 2)}
+
+
 # ---- personal data
 
 
