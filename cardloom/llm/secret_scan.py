@@ -1,7 +1,8 @@
 """Secret scan with a random forest against false positives.
 
-Candidates are words of a text, as white space parts it, that are long and hold
-a digit. Each is described by its length, the changes between letters and
+Candidates are the values in the words of a text, as white space parts it: each
+word is cut at = : ; , & and quotes. A value counts if it is long and holds a
+digit, or stands next to a key word. Each is described by its length, the changes between letters and
 digits, its case and alphabet, how much of it common words cover, whether it
 looks like a path, address or number, and the words before and after it. A
 random forest trained on labelled findings tells secrets from the rest.
@@ -31,21 +32,55 @@ def words(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")
 
 
-def candidate(word: Column) -> Column:
-    """The value in a word: what follows the last = or :, without quotes and punctuation around it."""
-    return F.regexp_replace(F.regexp_replace(word, r"^.*[=:](?=[^=:]{8})", ""), r"^[^A-Za-z0-9]+|[^A-Za-z0-9=]+$", "")
+def is_key(word: Column) -> Column:
+    """Whether the word is a key word, or a name that ends in one."""
+    return F.lower(word).rlike(rf"(?:^|[^a-z0-9])(?:{'|'.join(KEYS)})[^a-z0-9]*$")
+
+
+def stripped(value: Column) -> Column:
+    """The value without punctuation around it."""
+    return F.regexp_replace(value, r"^[^A-Za-z0-9]+|[^A-Za-z0-9=]+$", "")
+
+
+def values(word: Column) -> Column:
+    """Every value in a word: structs own (the name before it, or ''), raw, local (the value with its name and marks)."""
+
+    def of_item(item):
+        # a = that ends the value is padding
+        parts = F.filter(F.split(item, "[:\"']|=(?![=\"']|$)"), lambda x: x != "")
+        n = F.size(parts)
+
+        def of_part(x, k):
+            own = F.when(k > 0, F.get(parts, k - 1)).otherwise("")
+            mark = F.when(x.startswith("//"), ":").otherwise("=")
+            return F.struct(own.alias("own"), x.alias("raw"), F.when(n <= 2, item).otherwise(F.concat(own, F.when(k > 0, mark).otherwise(""), x)).alias("local"))
+
+        return F.transform(parts, of_part)
+
+    return F.flatten(F.transform(F.split(word, "[;,&]"), of_item))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Rows doc_id, th, pos (word number), value, word, before, before2, after."""
+    """Rows doc_id, th, pos (word number), part (value number in it), value, word, before, before2, after."""
     w = F.col("w")
+    near = lambda i: F.lower(F.coalesce(F.get(w, i), F.lit("")))
+    follows = lambda one, two: is_key(one) | (one.isin("=", ":", "=>", ":=", "is") & is_key(two))
+    inside = rf"(?i)(?:{'|'.join(KEYS)})[^A-Za-z0-9]*[=:]"
     # the cheap tests first: most words end at their length
-    at = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (F.length(F.get(w, i)) >= LEAST_CHARS) & F.get(w, i).rlike("[0-9]"))
+    at = F.filter(
+        F.sequence(F.lit(0), F.size("w") - 1),
+        lambda i: ((F.length(F.get(w, i)) >= LEAST_CHARS) & F.get(w, i).rlike("[0-9]")) | (F.get(w, i).rlike("[=:]") & F.get(w, i).rlike(inside)) | ((i > 0) & follows(near(i - 1), near(i - 2))),
+    )
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("w"))
-    near = lambda i: F.lower(F.coalesce(F.get(w, i), F.lit("")))
-    found = F.transform(at, lambda i: F.struct(i.alias("pos"), F.get(w, i).alias("word"), near(i - 1).alias("before"), near(i - 2).alias("before2"), near(i + 1).alias("after")))
+    found = F.transform(at, lambda i: F.struct(i.alias("pos"), F.get(w, i).alias("whole"), near(i - 1).alias("before"), F.when(i > 1, near(i - 2)).otherwise("").alias("before2"), near(i + 1).alias("after")))
     out = rows.select("doc_id", "th", F.explode(found).alias("c")).select("doc_id", "th", "c.*")
-    return out.withColumn("value", candidate(F.col("word"))).where((F.length("value") >= LEAST_CHARS) & F.col("value").rlike("[0-9]"))
+    out = out.select("*", F.posexplode(values(F.col("whole"))).alias("part", "v")).withColumns({"value": stripped(F.col("v.raw")), "word": F.col("v.local")})
+    named = F.col("v.own") != ""
+    keyed = F.when(named, is_key(F.col("v.own"))).otherwise((F.col("part") == 0) & follows(F.col("before"), F.col("before2")))
+    out = out.where(((F.length("value") >= LEAST_CHARS) & F.col("value").rlike("[0-9]")) | (keyed & (F.col("value") != "")))
+    # the neighbours of a later value are in its own word
+    first = F.col("part") == 0
+    return out.select("doc_id", "th", "pos", "part", "value", "word", F.when(first, F.col("before")).otherwise("").alias("before"), F.when(first, F.col("before2")).otherwise("").alias("before2"), "after")
 
 
 def features(rows: DataFrame) -> DataFrame:
@@ -55,8 +90,9 @@ def features(rows: DataFrame) -> DataFrame:
     changes = F.length(F.regexp_replace(F.regexp_replace(F.regexp_replace(kind, "A+", "A"), "a+", "a"), "0+", "0"))
     share = lambda p: F.length(F.regexp_replace(v, f"[^{p}]", "")) / n
     bare = lambda c: F.regexp_replace(c, "[^a-z0-9_-]", "")
-    own_key = F.regexp_extract(F.lower("word"), r"([a-z0-9_-]+)[\"']?[=:][^=:]{8}", 1)
-    keyed = lambda words: bare(F.col("before")).isin(*words) | bare(F.col("before2")).isin(*words) | own_key.isin(*words)
+    own_key = F.regexp_extract(F.lower("word"), r"([a-z0-9_-]+)[\"']?[=:][\"']?[^=:]", 1)
+    ends = lambda c, words: c.rlike(rf"(?:^|[_-])(?:{'|'.join(words)})$")
+    keyed = lambda words: ends(bare(F.col("before")), words) | ends(bare(F.col("before2")), words) | ends(own_key, words)
     yes = lambda c: c.cast("double")
     cols = [
         F.length(v), changes, changes / n, share("0-9"), share("A-Z"), share("a-z"), share("a-fA-F0-9"), share("^A-Za-z0-9"),
@@ -81,10 +117,11 @@ def labelled_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
     h = F.sha2(i.cast("string"), 256)
     b64 = F.regexp_replace(F.base64(F.unhex(h)), "[+/=]", "x")
     pick = lambda words, by: F.element_at(F.array(*map(F.lit, words)), (by % len(words) + 1).cast("int"))
-    r, kind = F.pmod(F.xxhash64("id"), F.lit(1 << 30)), F.pmod(F.xxhash64("id", F.lit("kind")), F.lit(9)).cast("int")
+    r, kind = F.pmod(F.xxhash64("id"), F.lit(1 << 30)), F.pmod(F.xxhash64("id", F.lit("kind")), F.lit(11)).cast("int")
     key = pick(KEYS, r)
     plain = pick(COMMON[:13], r)
     cut = lambda s, low, more: F.substring(s, F.lit(1), (low + r % more).cast("int"))
+    short = F.concat(plain, cut(b64, 2, 4), (r % 90).cast("string"))
     quoted = lambda v: F.concat(F.lit('"'), v, F.lit('"'))
     finding = lambda *c: F.struct(*[x.alias(name) for x, name in zip(c, ("value", "word", "before", "before2"), strict=True)])
     secret = (
@@ -96,6 +133,8 @@ def labelled_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         .when(kind == 5, finding(cut(b64, 14, 20), F.concat(key, F.lit(":"), cut(b64, 14, 20)), plain, plain))
         .when(kind == 6, finding(cut(b64, 20, 20), cut(b64, 20, 20), F.concat(key, F.lit(":")), plain))
         .when(kind == 7, finding(F.concat(F.lit("sk-"), cut(b64, 24, 16)), F.concat(F.lit("sk-"), cut(b64, 24, 16)), plain, plain))
+        .when(kind == 9, finding(short, short, F.lit("="), key))
+        .when(kind == 10, finding(short, F.concat(key, F.lit("="), short), plain, plain))
         .otherwise(finding(cut(h, 24, 17), cut(h, 24, 17), F.lit("="), key))
     )
     other = pick(HARMLESS, r)
@@ -115,6 +154,8 @@ def labelled_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         .when(kind == 5, finding(mail, mail, plain, plain))
         .when(kind == 6, finding(blank, F.concat(key, F.lit("="), blank), plain, plain))
         .when(kind == 7, finding(symbols, symbols, plain, other))
+        .when(kind == 9, finding(plain, plain, key, other))
+        .when(kind == 10, finding(other, F.concat(key, F.lit(":"), other), plain, plain))
         .otherwise(finding(F.md5(h), F.concat(F.lit("md5:"), F.md5(h)), pick(("md5", "digest", "hash"), r), plain))
     )
     rows = spark.range(n).select("id", (i % 2 == 0).cast("double").alias("label"), F.when(i % 2 == 0, secret).otherwise(harmless).alias("c"))
@@ -127,7 +168,7 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, least: float = 0.5) -> DataFrame:
-    """Rows doc_id, th, pos, value, score, secret for every candidate of every whole text.
+    """Rows doc_id, th, pos, part, value, score, secret for every candidate of every whole text.
 
     Null and empty texts have no candidates. Repeated rows give repeated
     candidates; rows with a null doc_id are scanned too. Other columns are
@@ -136,7 +177,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, least: float = 0.5)
     model = train(labelled_findings(docs.sparkSession) if findings is None else findings)
     scored = model.transform(features(candidates(docs)))
     score = vector_to_array("probability")[1]
-    return scored.select("doc_id", "th", "pos", "value", score.alias("score"), (score >= least).alias("secret"))
+    return scored.select("doc_id", "th", "pos", "part", "value", score.alias("score"), (score >= least).alias("secret"))
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
@@ -147,10 +188,10 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     """
     found = scan(docs).distinct().groupBy(F.col("doc_id").alias("d"), F.col("th").alias("t")).agg(
         F.count("*").alias("n_candidates"), F.count_if("secret").alias("n_secrets"), F.max("score").alias("max_score"),
-        F.array_sort(F.collect_list(F.when(F.col("secret"), F.struct("pos", "value")))).alias("own"),
+        F.array_sort(F.collect_list(F.when(F.col("secret"), F.struct("pos", "part", "value")))).alias("own"),
     )
     keys = docs.select("doc_id", F.xxhash64("text").alias("th"))
     out = keys.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("th").eqNullSafe(F.col("t")), "left")
     zero = F.lit(0).cast("long")
-    joined = F.array_join(F.transform(F.coalesce("own", F.array().cast("array<struct<pos:int,value:string>>")), lambda s: s["value"]), "\n")
+    joined = F.array_join(F.transform(F.coalesce("own", F.array().cast("array<struct<pos:int,part:int,value:string>>")), lambda s: s["value"]), "\n")
     return out.select("doc_id", F.coalesce("n_candidates", zero).alias("n_candidates"), F.coalesce("n_secrets", zero).alias("n_secrets"), F.coalesce("max_score", F.lit(0.0)).alias("max_score"), F.sha2(joined, 256).alias("secrets_sha256"))

@@ -352,3 +352,17 @@ def test_secrets(spark):
     assert len(rows) == len(texts)
     assert [rows[n + k]["n_secrets"] for k in range(4)] == [1, 0, 0, 1]
     assert secret_scan.scan_documents(frame(spark, [])).count() == 0
+
+
+def test_every_value_of_a_word_is_a_candidate(spark):
+    token, long = "ghp_9f8eQ2mZr71LxT05vKd38WbYp64NcAs1", "q8Zr41LmX0pT77VbN2cK9w"
+    texts = [
+        '{"token":"' + token + '","user":"alice-example"}', f"Password={long};Application=billing-service", f"AWS_SECRET_KEY={long};region=eu-west-1", f"a=1&api_key={long}&page=2",
+        "password = hunter2", "secret tq7Xz9", "the word hunter2 alone", f"x={long}==,y=3",
+    ]
+    rows = secret_scan.scan(frame(spark, texts)).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["doc_id"], {})[r["value"]] = r["secret"]
+    assert by[0][token] and by[1][long] and by[2][long] and by[3][long]
+    assert "hunter2" in by[4] and "tq7Xz9" in by[5] and 6 not in by and long + "==" in by[7]
