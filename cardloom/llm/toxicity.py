@@ -4,8 +4,9 @@ Three transducers are composed. The lexicon transducer rewrites a text as a
 tape of classes: insult, threat, target, negation, reported speech, clause end,
 other words. Its insult entries are whole words or stems (which match longer words only); besides a short list
 of common ones they are learned from labelled documents. The clause transducer
-reads the tape and gives each clause with an insult or threat one of the forms
-plain, targeted, negated and reported. The weight transducer turns the forms of
+reads the tape of a whole clause, once backward, to mark what a target follows,
+and once forward, and gives each insult or threat one of the forms plain,
+targeted, negated, reported and threat. The weight transducer turns the forms of
 a document into a score; its weights are fitted by logistic regression, from
 priors that make an aimed insult count most and a denied or quoted one least.
 
@@ -32,7 +33,8 @@ REPORTS = ("said", "says", "say", "wrote", "writes", "quoted", "reported", "clai
 FORMS = ("plain", "targeted", "negated", "reported", "threat")
 TOXIC, CLEAN = 1000, 2000  # most labelled documents to learn from
 WORD = re.compile(r"[^\W\d_]+")
-CLAUSE = re.compile(r"[.!?;:\n|]")
+CLAUSE_ENDS = ".!?;:\n|"
+CLAUSE = re.compile(f"[{CLAUSE_ENDS}]")
 
 
 def distinct_texts(texts: list[str], least: int = 2, kept: int = 12) -> list[str]:
@@ -148,38 +150,75 @@ class Grammar:
         text = text.lower()
         weight = [0.0] * len(FORMS)
         said = set()
-        for start, end, kind, x in self.hits(text):
-            word = (m := WORD.match(text, start)) and m.group()
-            before = [m.group() for m in WORD.finditer(CLAUSE.split(text[max(0, start - 80) : start])[-1])]
-            after = [m.group() for m in WORD.finditer(CLAUSE.split(text[end : end + 80])[0])]
-            form = clause_form(kind, before[-6:], after[:3])
-            if form is not None and (word, form) not in said:
-                said.add((word, form))
-                weight[form] += x
+        done = 0
+        hits = sorted(self.hits(text), key=lambda h: h[:2])
+        while hits:
+            start = hits[0][0]
+            low = max(done, *(text.rfind(c, done, start) + 1 for c in CLAUSE_ENDS))
+            m = CLAUSE.search(text, start)
+            done = m.start() if m else len(text)
+            n = next((i for i, h in enumerate(hits) if h[0] >= done), len(hits))
+            for word, form, x in clause_forms(lexicon_tape(text, low, done, hits[:n])):
+                if (word, form) not in said:
+                    said.add((word, form))
+                    weight[form] += x
+            hits = hits[n:]
         return weight
 
 
-def clause_form(kind: str, before: list[str], after: list[str]) -> int | None:
-    """Runs the clause machine over the words around a match; None: no match.
+CLASSES = {w: kind for kind, words in (("will", WILL), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS)) for w in words}
 
-    States are what has been read so far; a threat needs a will-word before and
-    a target beside it, else it is an ordinary verb.
+
+def lexicon_tape(text: str, low: int, high: int, hits: list) -> list[tuple[str, str | None, float]]:
+    """The clause text[low:high] as (class, word, weight); a lexicon word stands before its class as a common word."""
+    tape = []
+    at = 0
+    for m in WORD.finditer(text, low, high):
+        while at < len(hits) and hits[at][0] < m.end():
+            start, _, kind, x = hits[at]
+            tape.append((kind, (w := WORD.match(text, start)) and w.group(), x))
+            at += 1
+        tape.append((CLASSES.get(m.group(), "other"), None, 0.0))
+    return tape
+
+
+def transitions() -> dict[tuple[frozenset, str, bool], tuple[frozenset, int | None]]:
+    """(state, class, whether a target follows) -> (next state, form or None).
+
+    A state is what the clause has said so far. A threat needs a will-word before
+    it and a target after it, else it is an ordinary verb.
     """
-    state = set()
-    for w in before:
-        if w in REPORTS:
-            state.add("reported")
-        elif w in TARGETS:
-            state.add("target")
-        elif w in WILL:
-            state.add("will")
-    denied = any(w in NEGATIONS for w in before[-3:])
-    aimed = "target" in state or any(w in TARGETS for w in after)
-    if kind == "threat":
-        if not ("will" in state and any(w in TARGETS for w in after)):
-            return None
-        return 2 if denied else 3 if "reported" in state else 4
-    return 2 if denied else 3 if "reported" in state else 1 if aimed else 0
+    from itertools import combinations
+
+    read = ("will", "target", "negation", "report")
+    table = {}
+    for state in (frozenset(c) for n in range(len(read) + 1) for c in combinations(read, n)):
+        for follows in (False, True):
+            for kind in read:
+                table[state, kind, follows] = (state | {kind}, None)
+            table[state, "other", follows] = (state, None)
+            told = 2 if "negation" in state else 3 if "report" in state else None
+            aimed = 1 if follows or "target" in state else 0
+            table[state, "insult", follows] = (state, aimed if told is None else told)
+            table[state, "threat", follows] = (state, None if not (follows and "will" in state) else 4 if told is None else told)
+    return table
+
+
+TABLE = transitions()
+
+
+def clause_forms(tape: list[tuple[str, str | None, float]]) -> list[tuple[str | None, int, float]]:
+    """(word, form, weight) of each insult and threat on the whole tape of a clause."""
+    follows = [False] * len(tape)
+    for i in range(len(tape) - 2, -1, -1):
+        follows[i] = follows[i + 1] or tape[i + 1][0] == "target"
+    state: frozenset = frozenset()
+    out = []
+    for (kind, word, x), ahead in zip(tape, follows, strict=True):
+        state, form = TABLE[state, kind, ahead]
+        if form is not None:
+            out.append((word, form, x))
+    return out
 
 
 PRIOR = (1.0, 1.2, 0.1, 0.3, 1.2)  # factors of the forms before any labels are seen

@@ -327,6 +327,15 @@ def test_toxic_grammar_forms():
     assert form("I will kill you") == [4] and form("kill the process") == [] and form("idiotic") == []
 
 
+def test_toxic_grammar_reads_whole_clauses():
+    g = toxicity.Grammar([])
+    form = lambda t: [i for i, x in enumerate(g.forms(t)) if x]
+    far = "of the old stone house by the cold green river " * 20
+    assert form("I will kill every last one of you") == [4] and form(f"I will {far} kill {far} you") == [4]
+    assert form(f"she said {far} idiot") == [3] and form(f"not {far} idiot") == [2] and form(f"an idiot {far} you") == [1]
+    assert form("I will. kill you") == [] and form("not so. you idiot! she said") == [1] and form("an idiot: you") == [0]
+
+
 def test_language(spark):
     rng = random.Random(8)
     alphabets = {"aa": "abcdef", "bb": "ghijkl", "cc": "mnopqr"}
