@@ -169,12 +169,22 @@ class Field:
     def __init__(self, emit, move):
         self.emit, self.move = emit, move
 
-    def decode(self, windows: list) -> list[list[int]]:
+    def decode(self, windows: list, cells: int = 1_000_000) -> list[list[int]]:
+        """The best labels of each window, whatever its length; windows of like lengths at once."""
+        order = sorted(range(len(windows)), key=lambda i: -len(windows[i]))
+        out: list = [None] * len(order)
+        first = 0
+        while first < len(order):
+            own = order[first : first + max(1, cells // len(windows[order[first]]))]
+            for i, y in zip(own, self._decode([windows[i] for i in own]), strict=True):
+                out[i] = y
+            first += len(own)
+        return out
+
+    def _decode(self, windows: list) -> list[list[int]]:
         """Viterbi over all windows at once; the best labels of each."""
         import numpy as np
 
-        if not windows:
-            return []
         order = sorted(range(len(windows)), key=lambda i: -len(windows[i]))
         lengths = [len(windows[i]) for i in order]
         longest = lengths[0]
@@ -189,6 +199,8 @@ class Field:
             ways = best[:n, :, None] + self.move[:LABELS]
             back[t, :n] = ways.argmax(1)
             best[:n] = ways.max(1) + self.emit[grid[:n, t]].sum(1)
+            if not t % 256:  # small sums stay exact
+                best[:n] -= best[:n].max(1, keepdims=True)
         out: list = [None] * len(order)
         for k, i in enumerate(order):
             y = [int(best[k].argmax())]
@@ -280,13 +292,12 @@ def windows_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[list,
             found.append([a, b])
     out = []
     for a, b in found:
-        # whole words only, and long runs in parts, so that a window stays short
+        # whole words only; a window is never cut, for a cut could fall inside a span
         while a and text[a - 1].isalnum() and a > b - 4000:
             a -= 1
         words, places, apart = tokens(text, a, b)
-        for i in range(0, len(words), 400):
-            if words[i : i + 400]:
-                out.append((places[i : i + 400], feature_rows(words[i : i + 400], apart[i : i + 400])))
+        if words:
+            out.append((places, feature_rows(words, apart)))
     return out
 
 

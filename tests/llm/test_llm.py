@@ -291,6 +291,13 @@ def test_personal_data(spark):
     assert len(rows) == len(texts)
 
 
+def test_long_windows_lose_no_span(spark):
+    call = "call (020) 7946 0958 now "
+    texts = ["x " * k + call * 300 for k in range(3)]
+    for r, k in zip(pii.find(frame(spark, texts)).orderBy("doc_id").collect(), range(3), strict=True):
+        assert r["spans"] == ",".join(f"phone:{2 * k + 25 * i + 5}:{2 * k + 25 * i + 20}" for i in range(300))
+
+
 # ---- models
 
 
