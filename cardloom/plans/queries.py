@@ -78,7 +78,7 @@ def _feed_sources(spark, sf_dir, kind: int) -> DataFrame:
     d = _read(spark, sf_dir, "documents").where(F.col("doc_id") % 2 == kind)
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     key = F.concat(F.lit("k"), F.col("doc_id").cast("string"))
-    title, body = esc(F.substring("text", 1, 90)), esc(F.substring("text", 1, 400))
+    title = body = esc(F.col("text"))
     link = F.concat(F.lit("https://feeds.example.test/post/"), F.col("doc_id").cast("string"))
     if kind == 0:
         item = F.concat(F.lit("<item><guid>"), key, F.lit("</guid><title>"), title, F.lit("</title><link>"), link, F.lit("</link><description>"), body, F.lit("</description><pubDate>Mon, 06 May 2024 07:08:09 GMT</pubDate></item>"))
@@ -90,7 +90,7 @@ def _feed_sources(spark, sf_dir, kind: int) -> DataFrame:
     grouped = d.groupBy("source", F.floor(F.col("doc_id") / 50).alias("part")).agg(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("item")))).alias("items"))
     url = F.concat(F.lit("https://feeds.example.test/"), "source", F.lit("/"), F.col("part").cast("string"))
     return grouped.select(
-        F.col("part").cast("int").alias("source_ord"), F.col("source").alias("name"), url.alias("url"), F.lit(2).alias("max_entries"), F.lit("2024-05-07T00:00:00Z").alias("fetched_at"),
+        F.col("part").cast("int").alias("source_ord"), F.col("source").alias("name"), url.alias("url"), F.lit(schemas.MAX_ENTRIES).alias("max_entries"), F.lit("2024-05-07T00:00:00Z").alias("fetched_at"),
         F.encode(F.concat(F.lit(head), F.array_join(F.transform("items", lambda i: i["item"]), ""), F.lit(tail)), "UTF-8").alias("content"),
     )
 

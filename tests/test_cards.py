@@ -184,3 +184,16 @@ def test_streamed_health(spark, tmp_path):
     q = stream_health(spark.readStream.schema(kind).parquet(str(tmp_path / "in"))).writeStream.outputMode("update").format("memory").queryName("streaks").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted((r[0], r[2], r[3]) for r in spark.table("streaks").collect()) == [("u", 2, "t1"), ("v", 0, None)]
+
+
+def test_feed_queries_parse_every_entry_whole(spark, tmp_path):
+    from cardloom.plans.queries import QUERIES
+
+    rows = [(i, f"<entry> {i} & " + "word " * 400, "src") for i in range(50)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    for k, name in enumerate(("feed_parse_rss", "feed_parse_atom")):
+        got = QUERIES[name](spark, str(tmp_path)).collect()
+        assert {r["source_url"] for r in got} == {f"https://feeds.example.test/post/{i}" for i in range(k, 50, 2)}
+        assert len(got) == 25 and {(len(r["title"]), len(r["summary"])) for r in got} == {(140, 1000)}
+    body = "<rss><channel>" + "<item><guid>g</guid></item>" * 60 + "</channel></rss>"
+    assert len(feeds.entries_of(body.encode(), schemas.MAX_ENTRIES)[1]) == 50
