@@ -197,3 +197,18 @@ def test_feed_queries_parse_every_entry_whole(spark, tmp_path):
         assert len(got) == 25 and {(len(r["title"]), len(r["summary"])) for r in got} == {(140, 1000)}
     body = "<rss><channel>" + "<item><guid>g</guid></item>" * 60 + "</channel></rss>"
     assert len(feeds.entries_of(body.encode(), schemas.MAX_ENTRIES)[1]) == 50
+
+
+def test_card_digest_covers_all_cards(spark, tmp_path):
+    from cardloom.plans.lab import lab
+    from cardloom.plans.queries import QUERIES
+
+    texts = ["plain", "é ü ñ", "😀 日本語", 'q"\\ \x7f/']
+    spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    fields = ("published_at", "source_name", "source_url", "summary", "title")
+    want = {}
+    for r in lab(spark, str(tmp_path), "lab_cards").collect():
+        card = {k: r[k] for k in fields} | {"entry_key": str(r["doc_id"])}
+        want[r["doc_id"]] = hashlib.sha256(json.dumps(card, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    got = {r["doc_id"]: r["digest"] for r in QUERIES["card_digest_ascii"](spark, str(tmp_path)).collect()}
+    assert got == want and len(got) == len(texts)
