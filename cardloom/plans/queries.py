@@ -436,21 +436,21 @@ def health_streaks(spark, sf_dir):
 _TWO = _H + ", a AS (SELECT max(day) AS z FROM e), p AS (SELECT source_url FROM o WHERE failed AND day <> (SELECT z FROM a) AND day >= (SELECT max(day) FROM e WHERE day <> (SELECT z FROM a))), l AS (SELECT source_url FROM o WHERE failed AND day = (SELECT z FROM a))"
 
 
-def _last_two(spark, sf_dir):
+def _last_run(spark, sf_dir):
+    """The states before and after the last run: all earlier runs, and the last folded onto them."""
     rows, runs = _outcomes(spark, sf_dir)
-    days = [r[0] for r in runs.orderBy(F.desc("run_no")).limit(2).collect()]
-    none = spark.createDataFrame([], schemas.HEALTH)
-    of = lambda day: rows.where((F.col("run_no") == day) & F.col("failed"))
-    before = health.fold_health(none, of(days[1]), f"{days[1]}T00:00:00Z")
-    return before, health.fold_health(before, of(days[0]), f"{days[0]}T00:00:00Z")
+    last = runs.agg(F.max("run_no")).first()[0]
+    earlier = F.col("run_no") < F.lit(last)
+    before = health.health_streaks(rows.where(earlier), runs.where(earlier))
+    return before, health.fold_health(before, rows.where((F.col("run_no") == F.lit(last)) & F.col("failed")), f"{last}T00:00:00Z")
 
 
 @query(_TWO + " SELECT source_url, CAST(CASE WHEN source_url IN (SELECT source_url FROM p) THEN 2 ELSE 1 END AS INTEGER) AS consecutive_failures, 'error' AS last_reason FROM l")
 def health_fold(spark, sf_dir):
-    return _last_two(spark, sf_dir)[1].select("source_url", "consecutive_failures", "last_reason")
+    return _last_run(spark, sf_dir)[1].select("source_url", "consecutive_failures", "last_reason")
 
 
 @query(_TWO + " SELECT source_url, CASE WHEN source_url IN (SELECT source_url FROM p) THEN 'unhealthy' ELSE 'degraded' END AS status, CAST(CASE WHEN source_url IN (SELECT source_url FROM p) THEN 2 ELSE 1 END AS INTEGER) AS consecutive_failures FROM l UNION ALL SELECT source_url, 'recovered', 0 FROM p WHERE source_url NOT IN (SELECT source_url FROM l)")
 def health_report(spark, sf_dir):
-    before, after = _last_two(spark, sf_dir)
-    return health.health_report(after, before, 2)
+    before, after = _last_run(spark, sf_dir)
+    return health.health_report(after, before)

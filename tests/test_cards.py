@@ -212,3 +212,22 @@ def test_card_digest_covers_all_cards(spark, tmp_path):
         want[r["doc_id"]] = hashlib.sha256(json.dumps(card, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
     got = {r["doc_id"]: r["digest"] for r in QUERIES["card_digest_ascii"](spark, str(tmp_path)).collect()}
     assert got == want and len(got) == len(texts)
+
+
+def test_health_queries_fold_the_whole_history(spark, tmp_path):
+    from cardloom.plans.queries import QUERIES
+
+    def state(name, days):
+        # 1 fails on all days but the first two, 2 on all but the last, 3 on the last
+        bad = lambda u, d: (u == 1 and d > 2) or (u == 2 and d < days) or (u == 3 and d == days)
+        rows = [(10 * d + u, u, f"2024-05-{d:02} 01:00:00", "error" if bad(u, d) else "view") for d in range(1, days + 1) for u in (1, 2, 3)]
+        at = tmp_path / name
+        events = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string").withColumn("ts", F.col("ts").cast("timestamp"))
+        events.write.parquet(str(at / "events.parquet"))
+        key = lambda r: int(r["source_url"].split(".")[0].removeprefix("https://src"))
+        fold = {key(r): r["consecutive_failures"] for r in QUERIES["health_fold"](spark, str(at)).collect()}
+        return fold, {key(r): (r["status"], r["consecutive_failures"]) for r in QUERIES["health_report"](spark, str(at)).collect()}
+
+    assert state("twelve", 12) == ({1: 10, 3: 1}, {1: ("unhealthy", 10), 2: ("recovered", 0), 3: ("degraded", 1)})
+    assert state("four", 4) == ({1: 2, 3: 1}, {1: ("degraded", 2), 2: ("recovered", 0), 3: ("degraded", 1)})
+    assert state("one", 1) == ({3: 1}, {3: ("degraded", 1)}) and state("none", 0) == ({}, {})
