@@ -2,11 +2,15 @@
 
 A run holds, sorted and bucketed by the hash of a line's key, the number of
 documents that have the line and the largest id among them. A batch of
-documents is merged against the runs and adds a run of its own; once a level
+documents adds a run of its own, without a look at the others; once a level
 holds `fanout` runs, they are merged into one run of the next level. All runs
 are bucketed alike, so merging them and joining a batch to them needs no
 shuffle of the runs.
 
+Whether a line is dropped hangs on its count over all batches, so dedup_lines
+joins the documents to the merged counts; the anti-join of a batch against the
+runs (unseen_lines) is not on its path.
+
 A line's key is the line stripped of ASCII white space, A-Z lower-cased.
 """
 
