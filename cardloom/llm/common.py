@@ -41,6 +41,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def gathered(df: DataFrame, rows: int, each: int = 30_000) -> DataFrame:
+    """df, of at most `rows` rows, in no more partitions than they fill; many near-empty ones only cost files."""
+    return df.coalesce(max(1, -(-rows // each)))
+
+
 def bounded_sample(df: DataFrame, label: str, limits: dict, key: str = "doc_id") -> DataFrame:
     """About limits[value] rows for each value of label, at most twice that many in all.
 

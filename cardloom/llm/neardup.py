@@ -5,10 +5,9 @@ Documents with equal shingle sets are one set first. Each distinct set gets
 bucket. A bucket links its members to its smallest id (a star); each star pair
 is confirmed on the full sets, and connected components of the confirmed links
 come from alternating large-star and small-star. Where a bucket still holds
-several components, the members outside its centre's component are compared, in
-blocks, with the bucket's other members: by signature, and then on the full
-sets. A block gives only links that join what was apart, so no bucket's pairs
-are all emitted, and no bucket is capped.
+several components, the sets in it are joined by their rarest shingles (a prefix
+join), so that a passage that many texts share makes no pairs; what shares one is
+compared by signature, and then on the full sets. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -16,9 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import cut_lineage, text_slices
+from cardloom.llm.common import cut_lineage, gathered, text_slices
 
 BANDS, ROWS, WORDS, PERCENT = 32, 4, 5, 75
+CELLS = 1 << 20  # classes of shingle hashes whose counts order them from rare to common
 _words: dict[bytes, int] = {}
 
 
@@ -131,16 +131,17 @@ def full_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(build, "id long, shingles array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold.
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT, share: int = 4096) -> DataFrame:
+    """The pairs (a, b) whose full sets (id, shingles) reach the threshold.
 
-    Only texts of documents in a pair are hashed again; a set travels once for
-    each pair, and the pairs of a common member are split by skew handling.
+    A set travels once for each pair. The pairs of a common `a` are dealt, by
+    their other end, over one copy of its set for every `share` pairs.
     """
-    sets = sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))), docs, words)
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    copies = pairs.groupBy("a").agg(F.ceil(F.count("*") / share).cast("int").alias("copies"))
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")).join(copies, "a").select("a", "sa", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
+    dealt = pairs.join(copies, "a").withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")).drop("copies")
+    both = dealt.join(left, ["a", "copy"]).join(right, "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
@@ -172,13 +173,14 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = state(edges)
     while before[0]:
-        edges = cut_lineage(star(star(edges, True), False))
+        edges = gathered(edges, before[0])
+        edges = cut_lineage(gathered(star(star(edges, True), False), 2 * before[0]))
         after = state(edges)
         if after == before:
             break
         before = after
     least = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
-    return least.union(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    return gathered(least.union(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()), 2 * before[0])
 
 
 def sets_of(ids: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -187,68 +189,122 @@ def sets_of(ids: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame:
     return cut_lineage(full_sets(texts, words))
 
 
-def leftover_links(members: DataFrame, joined: DataFrame, sigs: DataFrame, docs: DataFrame, size: int, rows: int, words: int = WORDS, percent: int = PERCENT, block: int = 256, least: float = 0.5625) -> DataFrame | None:
-    """Confirmed links between members of a bucket that the stars left in different components.
+def shingle_counts(sets: DataFrame):
+    """uint32 array: how many of the sets' shingles fall in each of CELLS classes of hashes; its size is fixed."""
+    import numpy as np
+
+    def count(batches):
+        import pyarrow as pa
+
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            total += np.bincount(cell(batch.column("shingles").flatten().to_numpy().view(np.uint64)), minlength=CELLS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["cell", "n"])
+
+    rows = sets.select("shingles").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(CELLS, np.uint32)
+    out[rows.column("cell").to_numpy()] = np.minimum(rows.column("n").to_numpy(), 2**32 - 1)
+    return out
+
+
+def cell(shingles):
+    return (shingles >> 44).astype("int64")
+
+
+def prefixes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Rows token, id, n, pos: the necessary prefix of each set under the order from rare to common shingles.
 
-    Members outside the centre's component are the rest; every such pair has one
-    of them, so blocks of the rest meet blocks of all members, each pair in the
-    first band that it shares. A pair whose minima agree in `least` of the
-    places (with 128 minima a pair at 0.75 falls short with a chance of about
-    one in a million) is confirmed on the full sets, unless the block has
-    already joined the two; so a block gives fewer links than it has members.
+    Two sets at the threshold share a shingle of both prefixes. The order follows
+    counts by class of hashes, which is as good as any for right results. A class
+    that is counted once holds a shingle of one set only, and is left out.
     """
-    m = members.join(joined.select("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    centre = joined.select(F.col("id").alias("centre"), F.col("component").alias("centre_component"))
-    m = m.join(centre, "centre", "left").withColumn("rest", F.col("component") != F.coalesce("centre_component", "centre"))
-    sizes = m.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("rest").alias("n_rest")).where("n_rest > 0 and n > 2")
-    m = cut_lineage(m.select("bucket", "band", "id", "component", "rest").join(sizes, "bucket"))
-    if m.isEmpty():
-        return None
-    full = sets_of(m.select(F.col("id").alias("doc_id")), docs, words)
-    m = m.withColumns({"n_all": F.ceil(F.col("n") / block).cast("int"), "n_rest": F.ceil(F.col("n_rest") / block).cast("int")})
-    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    cols = ["bucket", "band", "id", "component"]
-    rest = m.where("rest").select(*cols, F.lit(True).alias("rest"), place("n_rest").alias("i"), F.explode(every("n_all")).alias("j"))
-    whole = m.select(*cols, F.lit(False).alias("rest"), F.explode(every("n_rest")).alias("i"), place("n_all").alias("j"))
-    dealt = rest.unionByName(whole).join(sigs, "id").join(full, "id")
-
-    def compare(table):
+    counts = sets.sparkSession.sparkContext.broadcast(shingle_counts(sets))
+
+    def cut(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        often = counts.value
+        for batch in batches:
+            ids, tokens, sizes, places = [], [], [], []
+            for i, s in zip(batch.column("id").to_pylist(), batch.column("shingles"), strict=True):
+                s = np.asarray(s.values).view(np.uint64)
+                n = len(s)
+                f = often[cell(s)]
+                first = np.lexsort((s, f))[: n - (percent * n + 99) // 100 + 1]
+                at = np.flatnonzero(f[first] > 1)
+                ids.append(np.full(len(at), i))
+                sizes.append(np.full(len(at), n))
+                tokens.append(s[first[at]].view(np.int64))
+                places.append(at)
+            cols = [np.concatenate(x).astype(t) for x, t in ((tokens, "int64"), (ids, "int64"), (sizes, "int32"), (places, "int32")) if x]
+            if cols:
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), ["token", "id", "n", "pos"])
+
+    return sets.select("id", "shingles").mapInArrow(cut, "token long, id long, n int, pos int")
+
+
+def alike(pairs: DataFrame, sigs: DataFrame, size: int, least: float = 0.5625) -> DataFrame:
+    """The pairs whose minima agree in `least` of the places; with 128 minima a pair at 0.75 falls short with a chance of about one in a million."""
+
+    def compare(batches):
         import numpy as np
         import pyarrow as pa
 
-        id_, comp, r = (table.column(c).to_numpy() for c in ("id", "component", "rest"))
-        band = table.column("band")[0].as_py()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(id_), size)
-        sets = [np.asarray(x.values) for x in table.column("shingles")]
-        head: dict[int, int] = {}
-
-        def find(x):
-            while head.get(x, x) != x:
-                head[x] = x = head.get(head[x], head[x])
-            return x
-
-        out = []
-        right = np.flatnonzero(~r.astype(bool))
-        for x in np.flatnonzero(r.astype(bool)):
-            near = right[comp[right] != comp[x]]
-            same = sig[near] == sig[x]
-            alike = same.sum(1)
-            first = same[:, : (band + 1) * rows].reshape(len(near), band + 1, rows).all(2).argmax(1) == band
-            fit = np.flatnonzero((alike >= least * size) & first)
-            for k in fit[np.argsort(-alike[fit], kind="stable")]:
-                y = near[k]
-                one, two = find(int(comp[x])), find(int(comp[y]))
-                if one == two:
-                    continue
-                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
-                    head[max(one, two)] = min(one, two)
-                    out.append((int(id_[x]), int(id_[y])))
-        a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, size) for c in ("ga", "gb"))
+            yield batch.select(["a", "b"]).filter(pa.array((one == two).sum(1) >= least * size))
+
+    both = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("ga")), "a").join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("gb")), "b")
+    return both.select("a", "b", "ga", "gb").mapInArrow(compare, "a long, b long")
+
+
+def joined_leftovers(members: DataFrame, joined: DataFrame, sigs: DataFrame, docs: DataFrame, size: int, words: int = WORDS, percent: int = PERCENT, centres: int = 4096) -> DataFrame:
+    """joined (id, component) with what the stars left apart: exactly, by a prefix join of the sets in mixed buckets.
+
+    A prefix token's sets that lie in one component need no comparison. Of the
+    others, those outside the token's largest component are centres, some thousands at a
+    time; each is compared with the token's sets of other components that length
+    and place in the prefix allow, and then is done there. Components are
+    contracted after each turn, and turns go on until no token has two
+    components left, so every pair is compared or joined. Shingles that many
+    texts share come last in the order and are in few prefixes.
+    """
+    known = members.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    ids = members.join(mixed.select("bucket"), "bucket", "left_semi").select(F.col("id").alias("doc_id"))
+    sets = sets_of(ids, docs, words)
+    if sets.isEmpty():
+        return joined
+    left = cut_lineage(prefixes(sets, percent))
+    rows = left.count()
+    left = gathered(left, rows)
+    while True:
+        u = left.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        home = u.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("home"), (F.sum("k") - F.max("k")).alias("rest"))
+        u = cut_lineage(gathered(u.join(home.where("rest > 0"), "token"), rows))
+        rows = u.count()
+        if not rows:
+            return joined
+        slot = F.pmod(F.xxhash64("id", "token"), F.least(8 * F.col("rest"), F.lit(centres)))
+        some = u.where("component <> home").groupBy("token", slot.alias("slot")).agg(F.min(F.struct("id", "n", "pos", "component")).alias("c"))
+        some = cut_lineage(gathered(some.groupBy("token").agg(F.collect_list("c").alias("cs")), rows))  # at most `centres` of them
+
+        def fits(c):
+            # what the two can still share from here on, this being their first common shingle
+            rest = F.least(F.col("n") - F.col("pos"), c["n"] - c["pos"])
+            return (c["component"] != F.col("component")) & ((100 + percent) * rest >= percent * (F.col("n") + c["n"]))
+
+        pairs = u.join(some, "token").select("id", F.explode(F.transform(F.filter("cs", fits), lambda c: c["id"])).alias("other"))
+        pairs = cut_lineage(pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
+        n = pairs.count()
+        near = cut_lineage(gathered(alike(gathered(pairs, n), sigs, size), n))
+        more = cut_lineage(gathered(confirmed(near, sets, percent), n))
+        if not more.isEmpty():
+            joined = cut_lineage(components(more.union(joined.select(F.col("component").alias("a"), F.col("id").alias("b")))))
+        done = some.select("token", F.explode("cs.id").alias("id"))
+        left = u.select("token", "id", "n", "pos").join(done, ["token", "id"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -256,23 +312,22 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
 
     Null and empty texts, and texts without words, have no shingles and stay
     alone. Repeated rows are alike: each is kept if its id is its component's
-    smallest. doc_id is the key: rows that share it must share their text. Rows
-    with a null doc_id are linked with nothing, and kept. An empty table gives
-    an empty table; other columns are ignored.
+    smallest. doc_id is the key: rows that share it must share their text (where
+    they do not, their components are joined). Rows with a null doc_id are linked
+    with nothing, and kept. Very long texts are hashed whole, a slice of a batch
+    at a time. An empty table gives an empty table; other columns are ignored.
     """
     signed = cut_lineage(signatures(docs, bands, rows, words))
     known = signed.where("set_key is not null and doc_id is not null")
     sets = cut_lineage(known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
     part = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * (4 * rows) + 1, F.lit(4 * rows))))
-    banded = sets.select("id", F.posexplode(part).alias("band", "bucket"))
+    banded = sets.select("id", F.explode(part).alias("bucket"))
     centres = banded.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last").select("bucket", "centre")
     members = cut_lineage(banded.join(centres, "bucket"))
     stars = cut_lineage(members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
-    links = cut_lineage(confirmed(stars, docs, words, percent))
-    joined = cut_lineage(components(links))
-    more = leftover_links(members, joined, sets.select("id", "sig"), docs, bands * rows, rows, words, percent)
-    if more is not None:
-        joined = cut_lineage(components(links.union(cut_lineage(more))))
+    full = sets_of(stars.select(F.col("a").alias("doc_id")).union(stars.select(F.col("b").alias("doc_id"))), docs, words)
+    joined = cut_lineage(components(cut_lineage(confirmed(stars, full, percent))))
+    joined = joined_leftovers(members.select("id", "bucket"), joined, sets.select("id", "sig"), docs, bands * rows, words, percent)
     whole = known.join(sets.select("set_key", "id"), "set_key").join(joined, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component")).groupBy("doc_id").agg(F.min("component").alias("component_id"))
     out = signed.join(whole, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
