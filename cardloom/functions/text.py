@@ -65,12 +65,18 @@ def unescape(texts):
 
 def plain_text(c: Column) -> Column:
     """Text without HTML: entities first, then tags (so escaped tags go too), then white space."""
-    return squeeze(F.regexp_replace(unescape(c), "<[^>]+>", " "))
+    plain = ~c.contains("&")
+    return squeeze(F.regexp_replace(F.when(plain, c).otherwise(unescape(F.when(~plain, c))), "<[^>]+>", " "))
+
+
+def fold_accents(c: Column) -> Column:
+    """Text without combining marks; Python sees no ASCII text."""
+    plain = c.rlike(r"\A[\x00-\x7f]*\z")
+    return F.when(plain, c).otherwise(_fold(F.when(~plain, c)))
 
 
 @F.pandas_udf(T.StringType())
-def fold_accents(texts):
-    """Text without combining marks."""
+def _fold(texts):
     import unicodedata
 
     def fold(t):

@@ -9,6 +9,7 @@ from cardloom import schemas
 from cardloom.functions.text import bounded, card_id, content_sha256, first_non_empty
 from cardloom.functions.times import published_at
 from cardloom.functions.urls import is_public_url, redirect_reason
+from cardloom.operators.feeds import entry_rows, parse_bodies
 
 
 def request_plan(sources: DataFrame, state: DataFrame) -> DataFrame:
@@ -19,26 +20,45 @@ def request_plan(sources: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def classify_responses(responses: DataFrame, sources: DataFrame) -> DataFrame:
-    """Responses joined with their sources, and the first outcome that fits.
+    """Every source with its responses, and the first outcome that fits.
 
-    Outcomes: unsupported_url, fetch_error, not_modified, http_NNN,
-    response_too_large, malformed_xml (a DOCTYPE) or fetched; what parsing finds
-    comes later, from parse_feeds. redirect is the finer reason of an untrusted
-    effective URL.
+    Outcomes: unsupported_url, fetch_error (also for a source without a
+    response), not_modified, http_NNN, response_too_large, malformed_xml (a
+    DOCTYPE) or fetched; what parsing finds comes later, from parse_responses.
+    redirect is the finer reason of an untrusted effective URL.
+
+    Responses are judged before they meet the sources, and only fetched ones keep
+    their content; URLs are tested once for each source.
     """
-    r = responses.join(sources, responses["source_url"] == sources["url"])
-    reason = redirect_reason(F.col("url"), F.coalesce("effective_url", "url"))
+    reason = redirect_reason(F.col("source_url"), F.coalesce("effective_url", "source_url"))
     body = F.lower(F.decode("content", "ISO-8859-1"))
     outcome = (
-        F.when(~is_public_url(F.col("url")), "unsupported_url")
-        .when(F.col("error").isNotNull() | F.col("status_code").isNull() | F.col("redirect").isNotNull(), "fetch_error")
+        F.when(F.col("error").isNotNull() | F.col("status_code").isNull() | F.col("redirect").isNotNull(), "fetch_error")
         .when(F.col("status_code") == 304, "not_modified")
         .when(~F.col("status_code").between(200, 299), F.concat(F.lit("http_"), F.col("status_code").cast("string")))
         .when(F.length("content") > schemas.MAX_BYTES, "response_too_large")
         .when(F.locate("<!doctype", body) > 0, "malformed_xml")
         .otherwise("fetched")
     )
-    return r.withColumn("redirect", reason).withColumn("outcome", outcome)
+    judged = responses.withColumn("redirect", reason).withColumn("outcome", outcome)
+    judged = judged.withColumn("content", F.when(F.col("outcome") == "fetched", F.coalesce("content", F.lit(b""))))
+    known = sources.withColumn("__public", is_public_url(F.col("url")))
+    r = known.join(judged, known["url"] == judged["source_url"], "left")
+    final = F.when(~F.col("__public"), "unsupported_url").otherwise(F.coalesce("outcome", F.lit("fetch_error")))
+    r = r.withColumns({"outcome": final, "source_url": F.col("url")})
+    return r.withColumn("content", F.when(F.col("outcome") == "fetched", F.col("content"))).drop("__public")
+
+
+def parse_responses(classified: DataFrame) -> DataFrame:
+    """Rows of classify_responses with entries; a body that is no feed turns its outcome into the reason and loses its content."""
+    parsed = parse_bodies(classified)
+    failed = F.col("reason").isNotNull()
+    return parsed.withColumns({"outcome": F.coalesce("reason", "outcome"), "content": F.when(~failed, F.col("content")), "entries": F.when(~failed, F.col("entries"))}).drop("reason")
+
+
+def entries_of_batch(parsed: DataFrame) -> DataFrame:
+    """Entries (the input of build_cards) of the rows of parse_responses."""
+    return entry_rows(parsed.select("source_ord", "name", "url", "fetched_at", "entries", F.lit(None).cast("string").alias("reason")))
 
 
 def build_cards(entries: DataFrame) -> DataFrame:
@@ -81,7 +101,7 @@ def changed_entries(parsed: DataFrame, store: DataFrame) -> DataFrame:
 
 
 def new_snapshots(responses: DataFrame, store: DataFrame) -> DataFrame:
-    """raw_sha256, content of fetched bodies not in the store; only hashes are compared, bodies follow."""
+    """raw_sha256, content of bodies that parsed and are not in the store; only hashes are compared, bodies follow."""
     hashed = responses.where("outcome = 'fetched'").withColumn("raw_sha256", F.sha2("content", 256))
     new = hashed.select("raw_sha256").distinct().join(store.select("raw_sha256"), "raw_sha256", "left_anti")
     return hashed.join(new, "raw_sha256", "left_semi").groupBy("raw_sha256").agg(F.first("content").alias("content"))

@@ -18,10 +18,15 @@ def derive(cards: DataFrame) -> DataFrame:
     The text searched is the title, a newline, and the summary without HTML; the
     title is taken as it is. Null texts are empty.
     """
-    rows = cards.withColumn("__plain", plain_text(F.coalesce("summary", F.lit("")))).withColumn("__hay", F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.col("__plain")))
-    hay = F.col("__hay")
-    found = {"cves": extract_cves(hay), "products": match_slugs(hay, PRODUCTS), "techniques": F.array_union(match_slugs(hay, TECHNIQUES), topic_slugs(F.col("__plain")))}
-    return rows.withColumn("derived", F.struct(*[bounded_set(found[t], schemas.LIST_LIMITS[t]).alias(t) for t in TAGS])).drop("__plain", "__hay")
+    rows = cards.withColumn("__plain", plain_text(F.coalesce("summary", F.lit(""))))
+
+    def tags(h):
+        found = {"cves": extract_cves(h["hay"]), "products": match_slugs(h["hay"], PRODUCTS), "techniques": F.array_union(match_slugs(h["hay"], TECHNIQUES), topic_slugs(h["plain"]))}
+        return F.struct(*[bounded_set(found[t], schemas.LIST_LIMITS[t]).alias(t) for t in TAGS])
+
+    # a lambda's argument is computed once, however many patterns read it
+    texts = F.struct(F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.col("__plain")).alias("hay"), F.col("__plain").alias("plain"))
+    return rows.withColumn("derived", F.get(F.transform(F.array(texts), tags), 0)).drop("__plain")
 
 
 def _same(a: Column, b: Column) -> Column:

@@ -34,6 +34,14 @@ def health_report(state: DataFrame, previous: DataFrame, threshold: int = DEFAUL
     return now.unionByName(gone).orderBy("source_url")
 
 
+def health_counts(report: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+    """One row of a health_report: the threshold used, failing sources in all, and sources by status."""
+    n = lambda *kinds: F.count_if(F.col("status").isin(*kinds))
+    return report.agg(
+        F.lit(max(1, threshold)).alias("threshold"), n("unhealthy", "degraded").alias("total_failing"), n("unhealthy").alias("unhealthy"), n("degraded").alias("degraded"), n("recovered").alias("recovered"),
+    )
+
+
 def health_streaks(outcomes: DataFrame, runs: DataFrame) -> DataFrame:
     """The state after the last run, from a history.
 

@@ -91,8 +91,8 @@ def table_digest(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def release_tables(cards: DataFrame) -> dict[str, DataFrame]:
     return {
         "cards": card_table(cards),
-        "card_products": child_table(cards, "products", "product").repartition("product").sortWithinPartitions("product", "card_id"),
-        "card_cves": child_table(cards, "cves", "cve").repartition("cve").sortWithinPartitions("cve", "card_id"),
+        "card_products": child_table(cards, "products", "product").repartitionByRange("product", "card_id").sortWithinPartitions("product", "card_id"),
+        "card_cves": child_table(cards, "cves", "cve").repartitionByRange("cve", "card_id").sortWithinPartitions("cve", "card_id"),
         "postings": postings(cards).sortWithinPartitions("field", "token"),
     }
 
@@ -102,38 +102,70 @@ def metadata(spark: SparkSession, values: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(sorted(values.items()), "key string, value string")
 
 
+MANIFEST = "version long, compatibility string, schema_version string, generated_at string, card_count string, source_sha256 string, folder string, artifacts map<string,string>"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors share: spark.checkpoint.dir, or where that is unset the warehouse."""
+    conf = spark.sparkContext.getConf()
+    return spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+
+
+def issues_of(cards: DataFrame) -> DataFrame:
+    """Issues of typed cards, as of the lines they are written as."""
+    from cardloom.operators import validate
+
+    line = F.to_json(F.struct(*[c for c in cards.columns if c in schemas.names(schemas.ENRICHED)]))
+    # numbers only tell lines apart
+    raw = cards.select(F.monotonically_increasing_id().alias("line_no"), F.try_parse_json(line).alias("v"))
+    cols = ["line_no", "code", "location"]
+    found = [validate.card_issues(raw), validate.secret_issues(validate.walk_text(raw))]
+    twice = cards.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.lit(0).cast("long").alias("line_no"), F.lit("duplicate_id").alias("code"), F.concat(F.lit("$.id "), "id").alias("location"))
+    return found[0].select(*cols).union(found[1].select(*cols)).union(twice)
+
+
 def publish_release(cards: DataFrame, path: str, generated_at: str) -> DataFrame:
-    """Writes the tables to a new folder below path, then the manifest; returns the manifest.
+    """Writes the tables to a new folder below path, then a manifest; returns the manifest.
 
-    The manifest names the folder, so a reader sees the old release until all
-    tables are there. When the cards' digest is the last manifest's, nothing is
-    written.
+    Cards with any issue raise before a manifest is written, so the old release
+    stays. Manifests are only added, with rising versions, and each names its
+    folder; readers take the last, so they see the old release until all tables
+    of the new one are there. When the cards' digest is the last manifest's,
+    no release is made. The cards are computed once; all tables come from their copy.
     """
+    from cardloom.operators.validate import gate
+
     spark = cards.sparkSession
-    digest = table_digest(cards.select(*schemas.names(schemas.CARD))).first()[0]
+    folder = f"{path}/release-{uuid.uuid4().hex}"
+    # written once, here; no manifest names the folder until all is well
+    cards.write.parquet(f"{folder}/source")
+    cards = spark.read.parquet(f"{folder}/source")
+    gate(issues_of(cards))
+    cards = cards.select(*schemas.names(schemas.CARD))
+    digest = table_digest(cards).first()[0]
     last = read_manifest(spark, path)
     if last is not None and is_unchanged(digest, last):
         return last
-    folder = f"{path}/release-{uuid.uuid4().hex}"
     digests = {}
     for name, df in release_tables(cards).items():
         df.write.parquet(f"{folder}/{name}")
         digests[name] = table_digest(spark.read.parquet(f"{folder}/{name}")).first()[0]
     values = {"compatibility": schemas.COMPATIBILITY, "schema_version": str(schemas.SCHEMA_VERSION), "generated_at": generated_at, "card_count": str(spark.read.parquet(f"{folder}/cards").count()), "source_sha256": digest}
     metadata(spark, values).coalesce(1).write.parquet(f"{folder}/metadata")
-    row = {**values, "folder": folder, "artifacts": digests}
-    spark.createDataFrame([row], "compatibility string, schema_version string, generated_at string, card_count string, source_sha256 string, folder string, artifacts map<string,string>").coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+    version = 1 if last is None else last.first()["version"] + 1
+    spark.createDataFrame([{"version": version, **values, "folder": folder, "artifacts": digests}], MANIFEST).coalesce(1).write.mode("append").json(f"{path}/manifest")
     return read_manifest(spark, path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """The manifest with the highest version; None where there is none."""
     from pyspark.errors import AnalysisException
 
     try:
-        df = spark.read.schema("compatibility string, schema_version string, generated_at string, card_count string, source_sha256 string, folder string, artifacts map<string,string>").json(f"{path}/manifest")
-        return None if df.isEmpty() else df
+        rows = spark.read.schema(MANIFEST).json(f"{path}/manifest").orderBy(F.desc("version")).limit(1).collect()
     except AnalysisException:
         return None
+    return spark.createDataFrame(rows, MANIFEST) if rows else None
 
 
 def verify_release(spark: SparkSession, path: str) -> DataFrame:

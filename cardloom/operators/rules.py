@@ -66,8 +66,12 @@ def phrase_regex(phrases: tuple[str, ...]) -> str:
 
 
 def match_slugs(hay: Column, dictionary: Mapping[str, tuple[str, ...]]) -> Column:
-    """The slugs with a phrase in the text, in the dictionary's order; one scan a slug, no shuffle."""
-    return F.array_compact(F.array(*[F.when(hay.rlike(phrase_regex(p)), F.lit(slug)) for slug, p in dictionary.items()]))
+    """The slugs with a phrase in the text, in the dictionary's order; no shuffle.
+
+    One scan for any phrase at all; only texts that have one are scanned slug by slug.
+    """
+    some = hay.rlike(phrase_regex(tuple(p for phrases in dictionary.values() for p in phrases)))
+    return F.when(some, F.array_compact(F.array(*[F.when(hay.rlike(phrase_regex(p)), F.lit(slug)) for slug, p in dictionary.items()]))).otherwise(F.array().cast("array<string>"))
 
 
 def extract_cves(hay: Column) -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cardloom import schemas
 from cardloom.functions.text import fingerprint
@@ -68,27 +67,51 @@ def secret_codes(text: Column) -> Column:
     return F.flatten(F.array(*found))
 
 
+#: Every injection pattern needs one of these; one cheap look for most texts.
+_ASKED = r"(?iU)instruction|system|developer|assistant|prompt|token|key|secret|credential|<\||<<|\[/?inst"
+
+
 def has_injection(text: Column) -> Column:
     hit = F.lit(False)
     for p in INJECTIONS:
         hit = hit | text.rlike(p)
-    return F.coalesce(hit, F.lit(False))
+    return F.coalesce(text.rlike(_ASKED) & hit, F.lit(False))
+
+
+#: Places that the checks read; each is taken out of a card once.
+_PLACES = [f"$.{f}" for f in schemas.REQUIRED] + ["$.enrichment"] + [f"$.enrichment.{f}" for f in ("version", "enriched_at", *schemas.LIST_LIMITS)]
+
+
+def opened(raw: DataFrame) -> DataFrame:
+    """The JSON objects of raw (line_no, v), with their fields, kinds and texts taken out.
+
+    x is an array with one struct for each place; the lambda's argument is
+    computed once, so no check reads the JSON again.
+    """
+    parts = F.array(*[F.try_variant_get("v", p, "variant") for p in _PLACES])
+    x = F.transform(parts, lambda v: F.struct(F.schema_of_variant(v).alias("kind"), F.try_variant_get(v, "$", "string").alias("text"), v.alias("v")))
+    rows = raw.withColumn("__whole", F.schema_of_variant("v")).where(F.col("__whole").startswith("OBJECT")).drop("__whole")
+    return rows.withColumn("x", x)
+
+
+def _place(path: str) -> Column:
+    return F.get("x", _PLACES.index(path))
 
 
 def _at(path: str) -> Column:
-    return F.try_variant_get("v", path, "variant")
+    return _place(path)["v"]
 
 
 def _type(path: str) -> Column:
-    return F.schema_of_variant(_at(path))
+    return _place(path)["kind"]
 
 
 def _text(path: str) -> Column:
-    return F.when(_type(path) == "STRING", F.try_variant_get("v", path, "string"))
+    return F.when(_type(path) == "STRING", _place(path)["text"])
 
 
 def _list(path: str) -> Column:
-    return F.when(_type(path).startswith("ARRAY"), F.try_variant_get("v", path, "array<variant>"))
+    return F.when(_type(path).startswith("ARRAY"), F.try_variant_get(_at(path), "$", "array<variant>"))
 
 
 def _issue(order: int, code: Column | str, location: Column | str, item: Column | int = 0) -> Column:
@@ -125,7 +148,7 @@ def card_issues(raw: DataFrame) -> DataFrame:
     checks: list[Column] = [_one(_type(f"$.{f}").isNull(), 0, "missing_required", "$." + f) for f in schemas.REQUIRED]
     for f, limit in schemas.STRING_LIMITS.items():
         path, text = f"$.{f}", _text(f"$.{f}")
-        code = F.when(text.isNull(), "invalid_type").when(F.length(F.trim(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]", ""))) == 0, "string_empty").when(F.length(text) > limit, "string_too_long")
+        code = F.when(text.isNull(), "invalid_type").when(text == "", "string_empty").when(F.length(text) > limit, "string_too_long")
         checks.append(_one(_type(path).isNotNull() & code.isNotNull(), 1, code, path))
     checks.append(_one(~_text("$.id").rlike(ID), 2, "invalid_id", "$.id"))
     checks += [_one(condition, 3, code, "$.source_url") for condition, code in url_issues(_text("$.source_url"))]
@@ -139,8 +162,8 @@ def card_issues(raw: DataFrame) -> DataFrame:
     checks += [_one(has_injection(_text(f"$.{f}")), 8, "prompt_injection_pattern", f"$.{f}") for f in ("title", "summary")]
     checks += _enrichment_issues()
     found = F.flatten(F.array_compact(F.array(*checks)))
-    cards = raw.where(F.schema_of_variant("v").startswith("OBJECT"))
-    return cards.select("line_no", F.explode(found).alias("i")).select("line_no", "i.*")
+    # an outer explode: for a plain one the optimiser would compute all checks twice, once to filter
+    return opened(raw).select("line_no", F.explode_outer(found).alias("i")).where("i is not null").select("line_no", "i.*")
 
 
 def _enrichment_issues() -> list[Column]:
@@ -151,7 +174,7 @@ def _enrichment_issues() -> list[Column]:
     extra = F.array_sort(F.array_except(F.json_object_keys(F.when(is_object, F.to_json(_at(e)))), F.array(*map(F.lit, known))))
     out.append(F.transform(extra, lambda k, i: _issue(10, "unexpected_field", F.concat(F.lit(e + "."), k), i)))
     version = _type(f"{e}.version")
-    out.append(_one(is_object & (version.isNull() | (version != "BIGINT") | (F.try_variant_get("v", f"{e}.version", "long") != schemas.ENRICHMENT_VERSION)), 11, "invalid_enrichment_version", f"{e}.version"))
+    out.append(_one(is_object & (version.isNull() | (version != "BIGINT") | (F.try_variant_get(_at(f"{e}.version"), "$", "long") != schemas.ENRICHMENT_VERSION)), 11, "invalid_enrichment_version", f"{e}.version"))
     stamp = _text(f"{e}.enriched_at")
     out.append(_one(is_object & stamp.isNull(), 12, "invalid_type", f"{e}.enriched_at"))
     out.append(_one(is_object & stamp.isNotNull() & ~is_timestamp(stamp), 12, "invalid_timestamp", f"{e}.enriched_at"))
@@ -176,7 +199,7 @@ def walk_text(raw: DataFrame) -> DataFrame:
 
     fields = [one(f"$.{f}") for f in (*schemas.STRING_LIMITS, *schemas.ENUMS)] + [many(f"$.{f}") for f in schemas.LIST_LIMITS]
     fields += [one("$.enrichment.enriched_at")] + [many(f"$.enrichment.{f}") for f in schemas.LIST_LIMITS]
-    objects = raw.where(F.schema_of_variant("v").startswith("OBJECT"))
+    objects = opened(raw)
     native = objects.select("line_no", F.posexplode(F.filter(F.flatten(F.array(*fields)), lambda s: s["text"].isNotNull())).alias("item_ord", "s")).select("line_no", "item_ord", "s.*")
     other = objects.where(F.size(F.array_except(F.json_object_keys(F.to_json("v")), F.array(*map(F.lit, known)))) > 0).select("line_no", F.to_json("v").alias("line"))
 
@@ -206,9 +229,14 @@ def walk_text(raw: DataFrame) -> DataFrame:
     return native.unionByName(other.mapInArrow(walk, "line_no long, item_ord int, location string, text string"))
 
 
+#: A text without any of these holds no secret; one cheap look for most texts.
+_HINT = r"(?iU)PRIVATE KEY|bearer|cookie|passw(?:or)?d|pwd|api[_-]?key|secret|token|session"
+
+
 def secret_issues(texts: DataFrame) -> DataFrame:
     """Issues of the rows of walk_text: one for each secret."""
-    return texts.select("line_no", F.lit(14).alias("check_ord"), "item_ord", F.explode(secret_codes(F.col("text"))).alias("code"), "location")
+    codes = F.when(F.col("text").rlike(_HINT), secret_codes(F.col("text")))
+    return texts.select("line_no", F.lit(14).alias("check_ord"), "item_ord", F.explode_outer(codes).alias("code"), "location").where("code is not null")
 
 
 def duplicate_issues(raw: DataFrame) -> DataFrame:
@@ -217,8 +245,9 @@ def duplicate_issues(raw: DataFrame) -> DataFrame:
     Only id, line number and digest are shuffled. The first line of each id is
     found by an aggregate, so that many lines of one id need no single task.
     """
-    is_text = F.schema_of_variant("v").startswith("OBJECT") & (_type("$.id") == "STRING")
-    rows = raw.where(is_text).select("line_no", _text("$.id").alias("id"), fingerprint(F.col("v")).alias("fp"))
+    one = F.try_variant_get("v", "$.id", "variant")
+    is_text = F.schema_of_variant("v").startswith("OBJECT") & (F.schema_of_variant(one) == "STRING")
+    rows = raw.where(is_text).select("line_no", F.try_variant_get("v", "$.id", "string").alias("id"), fingerprint(F.col("v")).alias("fp"))
     first = rows.groupBy("id").agg(F.min("line_no").alias("first"), F.min_by("fp", "line_no").alias("first_fp"), F.count("*").alias("n")).where("n > 1")
     later = rows.join(first, "id").where("line_no > first")
     codes = F.array_compact(F.array(F.lit("duplicate_id"), F.when(F.col("fp") != F.col("first_fp"), "conflicting_id_content")))
@@ -254,6 +283,15 @@ def report(issues: DataFrame, raw: DataFrame) -> DataFrame:
     return out.withColumns({"ok": F.col("issue_count") == 0, "exit_code": F.when(F.col("issue_count") == 0, 0).otherwise(1)})
 
 
+def issues_by_source(issues: DataFrame, raw: DataFrame) -> DataFrame:
+    """Issues by the card's source_name (null where it is no text) and code."""
+    name = F.try_variant_get("v", "$.source_name", "variant")
+    named = raw.select("line_no", F.when(F.schema_of_variant(name) == "STRING", F.try_variant_get("v", "$.source_name", "string")).alias("source_name"))
+    # one row for each card and code meets the cards
+    each = issues.groupBy("line_no", "code").agg(F.count("*").alias("k"))
+    return each.join(named, "line_no", "left").groupBy("source_name", "code").agg(F.sum("k").alias("n"))
+
+
 def issues_by_code(issues: DataFrame) -> DataFrame:
     return issues.groupBy("code").agg(F.count("*").alias("n"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from cardloom.functions import text as tx
 from cardloom.functions import urls
 from cardloom.operators import collect, enrich, feeds, health, release, rules, validate
 from cardloom.plans.lab import LAB, lab
+from cardloom.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,7 +32,7 @@ def query(sql: str | None = None):
 
 
 def _read(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _cards(spark, sf_dir) -> DataFrame:
@@ -58,7 +60,11 @@ def card_ids(spark, sf_dir):
     return d.select("doc_id", tx.card_id(F.concat(F.lit("https://feeds.example.test/"), "source"), tx.bounded(F.col("text"), 500)).alias("id"), tx.bounded(F.col("text"), 140).alias("title"))
 
 
-@query("SELECT doc_id, sha256(to_json({'entry_key': CAST(doc_id AS VARCHAR), 'published_at': published_at, 'source_name': source_name, 'source_url': source_url, 'summary': summary, 'title': title})) AS digest FROM (" + C + ") WHERE regexp_full_match(title || summary, '[ -~]*')")
+# each character beyond blank to tilde as its UTF-16 units, which DuckDB's to_json leaves as they are
+_ESCAPED = "list_aggregate(list_transform(string_split({j}, ''), lambda c: CASE WHEN unicode(c) BETWEEN 32 AND 126 THEN c WHEN unicode(c) < 65536 THEN printf('\\u%04x', unicode(c)) ELSE printf('\\u%04x\\u%04x', 55296 + (unicode(c) - 65536) // 1024, 56320 + (unicode(c) - 65536) % 1024) END), 'string_agg', '')"
+
+
+@query("SELECT doc_id, sha256(" + _ESCAPED.format(j="j") + ") AS digest FROM (SELECT doc_id, CAST(to_json({'entry_key': CAST(doc_id AS VARCHAR), 'published_at': published_at, 'source_name': source_name, 'source_url': source_url, 'summary': summary, 'title': title}) AS VARCHAR) AS j FROM (" + C + "))")
 def card_digest_ascii(spark, sf_dir):
     c = lab(spark, sf_dir, "lab_cards")
     fields = {k: F.col(k) for k in ("published_at", "source_name", "source_url", "summary", "title")}
@@ -96,12 +102,11 @@ def _feed_sources(spark, sf_dir, kind: int) -> DataFrame:
 
 
 def _feed_sql(kind: int) -> str:
-    ws = lambda n: f"substr(trim(regexp_replace(substr(text, 1, {n}), '\\s+', ' ', 'g')), 1, {n})"
-    return f"""SELECT id, title, summary, source_url, source_name, published_at FROM (
-      SELECT 'card-' || substr(sha256('https://feeds.example.test/' || source || '/' || CAST(doc_id // 50 AS VARCHAR) || chr(10) || 'k' || CAST(doc_id AS VARCHAR)), 1, 12) AS id,
-        CASE WHEN {ws(90)} = '' THEN '(untitled)' ELSE {ws(90)} END AS title, CASE WHEN {ws(400)} = '' THEN '(untitled)' ELSE {ws(400)} END AS summary,
-        'https://feeds.example.test/post/' || CAST(doc_id AS VARCHAR) AS source_url, source AS source_name, '2024-05-06T07:08:09Z' AS published_at,
-        row_number() OVER (PARTITION BY source, doc_id // 50 ORDER BY doc_id) AS rn FROM documents WHERE doc_id % 2 = {kind}) WHERE rn <= 2"""
+    ws = lambda n: f"substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, {n})"
+    return f"""SELECT 'card-' || substr(sha256('https://feeds.example.test/' || source || '/' || CAST(doc_id // 50 AS VARCHAR) || chr(10) || 'k' || CAST(doc_id AS VARCHAR)), 1, 12) AS id,
+        CASE WHEN {ws(140)} = '' THEN '(untitled)' ELSE {ws(140)} END AS title, CASE WHEN {ws(1000)} = '' THEN '(untitled)' ELSE {ws(1000)} END AS summary,
+        'https://feeds.example.test/post/' || CAST(doc_id AS VARCHAR) AS source_url, source AS source_name, '2024-05-06T07:08:09Z' AS published_at
+      FROM documents WHERE doc_id % 2 = {kind}"""
 
 
 def _parsed(spark, sf_dir, kind):
@@ -119,9 +124,9 @@ def feed_parse_atom(spark, sf_dir):
 
 
 def _responses(spark, sf_dir) -> DataFrame:
-    """A response for each event: too large after a signup, an error after an error."""
+    """A response for each event: too large after a signup, an error after an error, some bodies no feeds."""
     e = lab(spark, sf_dir, "lab_events")
-    body = F.when(F.col("event_type") == "signup", F.repeat(F.lit("x"), schemas.MAX_BYTES + 1)).when(F.col("event_id") % 7 == 0, F.lit("<!DOCTYPE html><p/>")).otherwise(F.concat(F.lit("<rss>"), "source_url", F.lit("</rss>")))
+    body = F.when(F.col("event_type") == "signup", F.repeat(F.lit("x"), schemas.MAX_BYTES + 1)).when(F.col("event_id") % 7 == 0, F.lit("<!DOCTYPE html><p/>")).when(F.col("event_id") % 11 == 0, F.lit("<rss><broken")).when(F.col("event_id") % 13 == 0, F.lit("<html/>")).otherwise(F.concat(F.lit("<rss>"), "source_url", F.lit("</rss>")))
     return e.select("event_id", F.lit(0).cast("long").alias("run_id"), "source_url", F.lit(None).cast("string").alias("effective_url"), "status_code", F.create_map(F.lit("ETag"), F.col("day")).alias("headers"), F.encode(body, "UTF-8").alias("content"), F.when(F.col("event_type") == "error", "timed out").alias("error"), F.concat("day", F.lit("T00:00:00Z")).alias("fetched_at"))
 
 
@@ -130,19 +135,23 @@ def _lab_sources(spark, sf_dir) -> DataFrame:
     return e.select(F.col("user_id").cast("int").alias("source_ord"), F.col("source_name").alias("name"), F.col("source_url").alias("url"), F.lit(50).alias("max_entries")).distinct()
 
 
-_OUTCOME = "CASE WHEN event_type = 'error' THEN 'fetch_error' WHEN event_type = 'click' THEN 'not_modified' WHEN event_type = 'purchase' THEN 'http_404' WHEN event_type = 'signup' THEN 'response_too_large' WHEN event_id % 7 = 0 THEN 'malformed_xml' ELSE 'fetched' END"
+def _judged(spark, sf_dir) -> DataFrame:
+    return collect.parse_responses(collect.classify_responses(_responses(spark, sf_dir), _lab_sources(spark, sf_dir)))
+
+
+_OUTCOME = "CASE WHEN event_type = 'error' THEN 'fetch_error' WHEN event_type = 'click' THEN 'not_modified' WHEN event_type = 'purchase' THEN 'http_404' WHEN event_type = 'signup' THEN 'response_too_large' WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'malformed_xml' WHEN event_id % 13 = 0 THEN 'unsupported_feed' ELSE 'fetched' END"
 
 
 @query(f"SELECT event_id, source_url, {_OUTCOME} AS outcome FROM ({E})")
 def response_outcomes(spark, sf_dir):
-    return collect.classify_responses(_responses(spark, sf_dir), _lab_sources(spark, sf_dir)).select("event_id", "source_url", "outcome")
+    return _judged(spark, sf_dir).select("event_id", "source_url", "outcome")
 
 
 @query(f"""WITH o AS (SELECT *, {_OUTCOME} AS outcome FROM ({E})), t AS (SELECT outcome, count(*) AS n FROM o GROUP BY 1)
 SELECT CAST(sum(n) AS BIGINT) AS sources_total, CAST(sum(n) FILTER (outcome = 'fetched') AS BIGINT) AS sources_fetched, CAST(sum(n) FILTER (outcome = 'not_modified') AS BIGINT) AS sources_not_modified, CAST(sum(n) FILTER (outcome NOT IN ('fetched', 'not_modified')) AS BIGINT) AS sources_failed,
  (SELECT count(*) FROM documents WHERE doc_id % 3 <> 0) AS cards_added, (SELECT count(DISTINCT source_url) FROM o WHERE outcome = 'fetched') AS snapshots_added, (SELECT count(*) + count(*) FILTER (doc_id % 10 = 0) - count(*) FILTER (doc_id % 3 <> 0) FROM documents) AS cards_skipped FROM t""")
 def collection_summary(spark, sf_dir):
-    outcomes = collect.classify_responses(_responses(spark, sf_dir), _lab_sources(spark, sf_dir))
+    outcomes = _judged(spark, sf_dir)
     parsed, store = _batch(spark, sf_dir)
     none = spark.createDataFrame([], "raw_sha256 string, content binary")
     return collect.collection_summary(outcomes, parsed, collect.new_cards(parsed, store), collect.new_snapshots(outcomes, none))
@@ -150,7 +159,7 @@ def collection_summary(spark, sf_dir):
 
 @query(f"SELECT CAST(user_id AS INTEGER) AS source_ord, source_name, source_url, outcome AS reason, count(*) AS n FROM (SELECT *, {_OUTCOME} AS outcome FROM ({E})) WHERE outcome NOT IN ('fetched', 'not_modified') GROUP BY ALL")
 def collection_failures(spark, sf_dir):
-    f = collect.failures(collect.classify_responses(_responses(spark, sf_dir), _lab_sources(spark, sf_dir)))
+    f = collect.failures(_judged(spark, sf_dir))
     return f.groupBy("source_ord", "source_name", "source_url", "reason").agg(F.count("*").alias("n"))
 
 
@@ -177,7 +186,7 @@ def changed_entries(spark, sf_dir):
 s AS (SELECT DISTINCT source_url FROM o WHERE user_id % 2 = 0)
 SELECT coalesce(f.source_url, s.source_url) AS source_url, CASE WHEN f.k IS NULL THEN 'old' ELSE (SELECT day FROM o WHERE event_id = f.k) END AS etag FROM f FULL JOIN s ON f.source_url = s.source_url""")
 def state_upsert(spark, sf_dir):
-    got = collect.classify_responses(_responses(spark, sf_dir), _lab_sources(spark, sf_dir)).withColumn("source_ord", F.col("event_id"))
+    got = _judged(spark, sf_dir).withColumn("source_ord", F.col("event_id"))
     old = _lab_sources(spark, sf_dir).where("source_ord % 2 = 0").select(F.col("url").alias("source_url"), F.lit("old").alias("etag"), F.lit("").alias("last_modified"), F.lit("").alias("raw_sha256"), F.lit("").alias("last_fetched_at"))
     return collect.upsert_state(old, collect.fetched_state(got)).select("source_url", "etag")
 
@@ -211,11 +220,25 @@ def url_policy(spark, sf_dir):
     return p.select("page_id", urls.is_public_url(F.col("u")).alias("is_public"), urls.safe_article_url(F.col("u"), F.lit("https://fallback.example.org/")).alias("article_url"))
 
 
-@query("SELECT page_id, CASE page_id % 6 WHEN 1 THEN 'cross_host' WHEN 2 THEN 'downgrade' WHEN 3 THEN 'userinfo' WHEN 4 THEN 'scheme' WHEN 5 THEN 'invalid_url' END AS reason FROM pages")
+_HOST = "regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)"
+_REST = "regexp_extract(url, '^[a-z]+://[^/?#]*(.*)$', 1)"
+
+
+@query(f"""WITH r AS (SELECT page_id, {_HOST} AS h, {_REST} AS p FROM pages), e AS (SELECT r.page_id, r.page_id % 10 AS k, r.h, n.h AS other FROM r LEFT JOIN r AS n ON n.page_id = r.page_id + 1)
+SELECT page_id, CASE WHEN k = 1 AND other IS NOT NULL AND other <> h THEN 'cross_host' WHEN k = 2 THEN 'downgrade' WHEN k = 3 THEN 'userinfo' WHEN k IN (4, 5) THEN 'scheme' WHEN k IN (6, 7, 8) THEN 'invalid_url' END AS reason FROM e""")
 def redirect_trust(spark, sf_dir):
-    k = F.col("page_id") % 6
-    eff = F.when(k == 0, "https://A.example.org./x").when(k == 1, "https://b.example.org/").when(k == 2, "http://a.example.org/").when(k == 3, "https://u@a.example.org/").when(k == 4, "ftp://a.example.org/").otherwise("nonsense")
-    return _read(spark, sf_dir, "pages").select("page_id", urls.redirect_reason(F.lit("https://a.example.org/"), eff).alias("reason"))
+    """Each page's URL, made https, answers from a changed form of itself or from the next page's host."""
+    p = _read(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1).alias("h"), F.regexp_extract("url", "^[a-z]+://[^/?#]*(.*)$", 1).alias("p"))
+    p = p.join(p.select((F.col("page_id") - 1).alias("page_id"), F.col("h").alias("next")), "page_id", "left")
+    other = F.coalesce("next", "h")
+    k = F.col("page_id") % 10
+    url = lambda head, h, mid="": F.concat(F.lit(head), h, F.lit(mid), F.col("p"))
+    eff = (
+        F.when(k == 0, url("https://", F.upper("h"), ".")).when(k == 1, url("https://", other)).when(k == 2, url("http://", F.col("h"))).when(k == 3, url("https://u@", F.col("h")))
+        .when(k == 4, url("ftp://", F.col("h"))).when(k == 5, F.col("h")).when(k == 6, url("https://", F.col("h"), ":99999")).when(k == 7, url("https://", F.col("h"), ":0")).when(k == 8, url("https://", F.lit(""), ""))
+        .otherwise(url("https://", F.col("h"), ":8443"))
+    )
+    return p.select("page_id", urls.redirect_reason(url("https://", F.col("h")), eff).alias("reason"))
 
 
 # ---- enrichment
@@ -287,7 +310,7 @@ def enrich_summary(spark, sf_dir):
 @query("SELECT slug AS technique, count(*) AS cards FROM (SELECT unnest(CASE doc_id % 16 WHEN 1 THEN ['saml'] WHEN 3 THEN ['sql-injection', 'xss'] WHEN 4 THEN ['binary-exploitation', 'web'] WHEN 7 THEN ['cookie-parsing'] WHEN 14 THEN ['jwt', 'oauth', 'open-redirect'] ELSE [] END) AS slug FROM documents) GROUP BY 1")
 def technique_counts(spark, sf_dir):
     """Cards by technique: ids, tags and a count; the flagship query."""
-    d = enrich.derive(_cards(spark, sf_dir)).select(F.explode("derived.techniques").alias("technique"))
+    d = enrich.derive(_cards(spark, sf_dir)).select(F.explode_outer("derived.techniques").alias("technique")).where("technique is not null")
     return d.groupBy("technique").agg(F.count("*").alias("cards"))
 
 
@@ -312,24 +335,32 @@ def _defects(spark, sf_dir) -> DataFrame:
         "content_sha256": (5, F.upper(F.lit("a" * 64))), "id": (6, F.lit("Card-1")), "products": (7, F.transform(F.sequence(F.lit(1), F.lit(21)), lambda i: i.cast("string"))),
         "cves": (8, F.array(F.lit("CVE-1"))), "confidence": (9, F.lit("sure")),
     }
-    c = _cards(spark, sf_dir).withColumn("summary", F.lit("plain words"))
+    c = _cards(spark, sf_dir)
     cols = {name: F.when(k == n, v).otherwise(F.col(name)) for name, (n, v) in change.items()}
     cols["source_url"] = F.when(k == 2, "ftp://feeds.example.test/a").when(k == 3, "https://u:p@feeds.example.test/a").otherwise(F.col("source_url"))
     cols["techniques"] = none
     return _raw(c.withColumns(cols).withColumn("line_no", F.col("doc_id") + 1))
 
 
-@query("SELECT doc_id + 1 AS line_no, CASE doc_id % 11 " + " ".join(f"WHEN {k} THEN '{c}'" for k, (c, _) in _DEFECTS.items()) + " END AS code, 'line ' || CAST(doc_id + 1 AS VARCHAR) || CASE doc_id % 11 " + " ".join(f"WHEN {k} THEN '{p[1:]}'" for k, (_, p) in _DEFECTS.items()) + " END AS location FROM documents WHERE doc_id % 11 < 10")
+_CODE = "CASE doc_id % 11 " + " ".join(f"WHEN {k} THEN '{c}'" for k, (c, _) in _DEFECTS.items()) + " END"
+_PLACE = "CASE doc_id % 11 " + " ".join(f"WHEN {k} THEN '{p}'" for k, (_, p) in _DEFECTS.items()) + " END"
+_SECRET = {5: "secret.bearer_token", 6: "secret.assignment", 7: "secret.cookie", 13: "secret.private_key"}
+_SECRET_CODE = "CASE doc_id % 16 " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in _SECRET.items()) + " END"
+# the defect of each card, and what its summary holds unless that is missing
+_ISSUES = f"SELECT doc_id, source, {_CODE} AS code, {_PLACE} AS place FROM documents WHERE doc_id % 11 < 10 UNION ALL SELECT doc_id, source, 'prompt_injection_pattern', '$.summary' FROM documents WHERE doc_id % 16 IN (9, 11) AND doc_id % 11 <> 0"
+
+
+@query(f"SELECT doc_id + 1 AS line_no, code, 'line ' || CAST(doc_id + 1 AS VARCHAR) || substr(place, 2) AS location FROM ({_ISSUES})")
 def validate_fields(spark, sf_dir):
     return validate.relocate(validate.card_issues(_defects(spark, sf_dir))).select("line_no", "code", "location")
 
 
-@query("SELECT CASE doc_id % 11 " + " ".join(f"WHEN {k} THEN '{c}'" for k, (c, _) in _DEFECTS.items()) + " END AS code, count(*) AS n FROM documents WHERE doc_id % 11 < 10 GROUP BY 1")
+@query(f"SELECT code, count(*) AS n FROM (SELECT code FROM ({_ISSUES}) UNION ALL SELECT {_SECRET_CODE} FROM documents WHERE doc_id % 16 IN (5, 6, 7, 13) AND doc_id % 11 <> 0) GROUP BY 1")
 def issues_by_code(spark, sf_dir):
     return validate.issues_by_code(validate.validate_cards(_defects(spark, sf_dir)).where("code <> 'duplicate_id' and code <> 'conflicting_id_content'"))
 
 
-@query("SELECT count(*) AS card_count, count(*) FILTER (doc_id % 11 < 10) AS issue_count, count(*) FILTER (doc_id % 11 < 10) = 0 AS ok, CAST(CASE WHEN count(*) FILTER (doc_id % 11 < 10) = 0 THEN 0 ELSE 1 END AS INTEGER) AS exit_code FROM documents")
+@query(f"SELECT (SELECT count(*) FROM documents) AS card_count, count(*) AS issue_count, count(*) = 0 AS ok, CAST(CASE WHEN count(*) = 0 THEN 0 ELSE 1 END AS INTEGER) AS exit_code FROM ({_ISSUES})")
 def validation_report(spark, sf_dir):
     raw = _defects(spark, sf_dir)
     return validate.report(validate.card_issues(raw), raw)
@@ -348,9 +379,6 @@ def validate_duplicates(spark, sf_dir):
     return validate.duplicate_issues(_dups(spark, sf_dir)).select("line_no", "code")
 
 
-_SECRET = {5: "secret.bearer_token", 6: "secret.assignment", 7: "secret.cookie", 13: "secret.private_key"}
-
-
 @query("SELECT doc_id AS line_no, CASE doc_id % 16 " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in _SECRET.items()) + " END AS code, '$.summary' AS location FROM documents WHERE doc_id % 16 IN (5, 6, 7, 13)")
 def card_secret_scan(spark, sf_dir):
     raw = _raw(_cards(spark, sf_dir).withColumn("line_no", F.col("doc_id")))
@@ -363,6 +391,46 @@ def injection_scan(spark, sf_dir):
     return validate.card_issues(raw).where("code = 'prompt_injection_pattern'").select("line_no", "location")
 
 
+_BLOCK = {0: ("unexpected_field", ".odd"), 1: ("invalid_enrichment_version", ".version"), 2: ("invalid_timestamp", ".enriched_at"), 3: ("missing_required", ".products"), 4: ("invalid_cve", ".cves[0]"), 5: ("invalid_type", "")}
+
+
+@query("SELECT doc_id AS line_no, CASE doc_id % 7 " + " ".join(f"WHEN {k} THEN '{c}'" for k, (c, _) in _BLOCK.items()) + " END AS code, '$.enrichment' || CASE doc_id % 7 " + " ".join(f"WHEN {k} THEN '{p}'" for k, (_, p) in _BLOCK.items()) + " END AS location FROM documents WHERE doc_id % 7 < 6")
+def enrichment_blocks(spark, sf_dir):
+    """Cards whose enrichment block has one defect each, or none."""
+    k = F.col("doc_id") % 7
+    stamp = F.when(k == 2, "2024-05-06").otherwise("2024-05-06T07:08:09Z")
+    cves = F.when(k == 4, F.array(F.lit("CVE-1"))).otherwise(F.array(F.lit("CVE-2024-1234")))
+    none = F.array().cast("array<string>")
+    field = lambda drop, c: F.when(k != drop, c)
+    block = F.to_json(F.struct(F.when(k == 1, 9).otherwise(1).alias("version"), stamp.alias("enriched_at"), cves.alias("cves"), field(3, none).alias("products"), none.alias("techniques"), F.when(k == 0, F.lit(1)).alias("odd")))
+    cards = _raw(_cards(spark, sf_dir).withColumn("line_no", F.col("doc_id"))).withColumn("k", F.col("line_no") % 7)
+    line = F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit(',"enrichment":'), F.col("block"), F.lit("}"))
+    rows = cards.join(_cards(spark, sf_dir).select(F.col("doc_id").alias("line_no"), F.when(k == 5, F.lit("[]")).otherwise(block).alias("block")), "line_no").select("line_no", line.alias("line"))
+    return validate.card_issues(rows.select("line_no", F.try_parse_json("line").alias("v"))).where("location like '$.enrichment%'").select("line_no", "code", "location")
+
+
+@query("SELECT doc_id, CASE WHEN trim(regexp_replace(text, '\\s', '', 'g')) = '' OR doc_id % 5 = 1 THEN 'blank_line' WHEN doc_id % 5 = 2 THEN 'malformed_jsonl' WHEN doc_id % 5 = 3 THEN 'card_type' ELSE 'card' END AS kind FROM documents")
+def line_kinds(spark, sf_dir):
+    """Each document's text as a line of a card file: an object, an array, cut JSON or white space."""
+    d, k = _read(spark, sf_dir, "documents"), F.col("doc_id") % 5
+    empty = F.trim(F.regexp_replace("text", r"\s", "")) == ""
+    line = F.when(empty | (k == 1), F.lit(" \t")).when(k == 2, F.concat(F.lit('{"text": '), F.to_json(F.array("text")))).when(k == 3, F.to_json(F.array("text"))).otherwise(F.to_json(F.struct("text")))
+    return readers.classify_lines(d.select("doc_id", line.alias("line"), F.try_parse_json(line).alias("v"))).select("doc_id", "kind")
+
+
+@query(f"SELECT source AS source_name, code, count(*) AS n FROM ({_ISSUES}) GROUP BY ALL")
+def issues_by_source(spark, sf_dir):
+    raw = _defects(spark, sf_dir)
+    return validate.issues_by_source(validate.card_issues(raw), raw)
+
+
+@query(f"SELECT id, 'medium' AS confidence, 'public' AS safety, 0 AS n_tags, '2024-05-07T00:00:00Z' AS fetched_at FROM (SELECT 'card-' || substr(sha256('https://feeds.example.test/' || source || '/' || CAST(doc_id // 50 AS VARCHAR) || chr(10) || 'k' || CAST(doc_id AS VARCHAR)), 1, 12) AS id FROM documents WHERE doc_id % 2 = 0)")
+def card_defaults(spark, sf_dir):
+    """What every new card starts with."""
+    cards = collect.build_cards(feeds.parse_feeds(_feed_sources(spark, sf_dir, 0)))
+    return cards.select("id", "confidence", "safety", (F.size("products") + F.size("cves") + F.size("techniques")).alias("n_tags"), "fetched_at")
+
+
 # ---- release and search
 
 
@@ -414,6 +482,21 @@ def table_digest(spark, sf_dir):
     return release.table_digest(lab(spark, sf_dir, "lab_cards"), ["id", "title", "source_name"])
 
 
+@query("SELECT name, status, CASE WHEN name = 'cards' THEN (SELECT count(*) FROM documents WHERE doc_id % 16 NOT IN (5, 6, 7, 9, 11, 13)) END AS card_count FROM (SELECT unnest(['cards', 'card_cves', 'card_products', 'postings', 'compatibility', 'schema_version', 'unchanged']) AS name, 'ok' AS status)")
+def verify_release(spark, sf_dir):
+    """Publishes the cards that are valid to the shared folder, verifies every table against the manifest, and publishes once more."""
+    cards = _enriched(spark, sf_dir).where("doc_id % 16 not in (5, 6, 7, 9, 11, 13)").select(*schemas.names(schemas.ENRICHED))
+    path = f"{release.shared_folder(spark)}/release-{uuid.uuid4().hex}"
+    first = release.publish_release(cards, path, NOW)
+    again = release.publish_release(cards, path, "later")
+    same = first.select("folder").union(again.select("folder")).distinct().count() == 1
+    bad = release.verify_release(spark, path).select("name", F.lit("changed").alias("status"))
+    names = spark.createDataFrame([(n,) for n in ("cards", "card_cves", "card_products", "postings", "compatibility", "schema_version")], "name string")
+    rows = names.join(bad, "name", "left").select("name", F.coalesce("status", F.lit("ok")).alias("status")).union(spark.createDataFrame([("unchanged", "ok" if same else "changed")], "name string, status string"))
+    count = first.select(F.lit("cards").alias("name"), F.col("card_count").cast("long").alias("card_count"))
+    return rows.join(count, "name", "left")
+
+
 # ---- health
 
 _H = f"WITH e AS ({E}), o AS (SELECT source_url, source_name, day, arg_max(event_type, event_id) = 'error' AS failed, arg_max(event_type, event_id) AS t FROM e GROUP BY 1, 2, 3), runs AS (SELECT day, row_number() OVER (ORDER BY day) AS k FROM (SELECT DISTINCT day FROM e))"
@@ -433,7 +516,9 @@ def health_streaks(spark, sf_dir):
     return health.health_streaks(*_outcomes(spark, sf_dir))
 
 
-_TWO = _H + ", a AS (SELECT max(day) AS z FROM e), p AS (SELECT source_url FROM o WHERE failed AND day <> (SELECT z FROM a) AND day >= (SELECT max(day) FROM e WHERE day <> (SELECT z FROM a))), l AS (SELECT source_url FROM o WHERE failed AND day = (SELECT z FROM a))"
+# streaks over all runs, and those alive at the last run or, the last run left out, at the one before
+_STREAKS = _H + """, f AS (SELECT source_url, k FROM o JOIN runs USING (day) WHERE failed), z AS (SELECT max(k) AS z FROM runs), g AS (SELECT *, k - row_number() OVER (PARTITION BY source_url ORDER BY k) AS i FROM f),
+s AS (SELECT source_url, max(k) AS e, count(*) AS n FROM g GROUP BY source_url, i), l AS (SELECT source_url, CAST(n AS INTEGER) AS n FROM s, z WHERE e = z), p AS (SELECT DISTINCT source_url FROM f, z WHERE k = z - 1)"""
 
 
 def _last_run(spark, sf_dir):
@@ -445,12 +530,26 @@ def _last_run(spark, sf_dir):
     return before, health.fold_health(before, rows.where((F.col("run_no") == F.lit(last)) & F.col("failed")), f"{last}T00:00:00Z")
 
 
-@query(_TWO + " SELECT source_url, CAST(CASE WHEN source_url IN (SELECT source_url FROM p) THEN 2 ELSE 1 END AS INTEGER) AS consecutive_failures, 'error' AS last_reason FROM l")
+@query(_STREAKS + " SELECT source_url, n AS consecutive_failures, 'error' AS last_reason FROM l")
 def health_fold(spark, sf_dir):
     return _last_run(spark, sf_dir)[1].select("source_url", "consecutive_failures", "last_reason")
 
 
-@query(_TWO + " SELECT source_url, CASE WHEN source_url IN (SELECT source_url FROM p) THEN 'unhealthy' ELSE 'degraded' END AS status, CAST(CASE WHEN source_url IN (SELECT source_url FROM p) THEN 2 ELSE 1 END AS INTEGER) AS consecutive_failures FROM l UNION ALL SELECT source_url, 'recovered', 0 FROM p WHERE source_url NOT IN (SELECT source_url FROM l)")
+@query(_STREAKS + " SELECT source_url, CASE WHEN n >= 3 THEN 'unhealthy' ELSE 'degraded' END AS status, n AS consecutive_failures FROM l UNION ALL SELECT source_url, 'recovered', 0 FROM p WHERE source_url NOT IN (SELECT source_url FROM l)")
 def health_report(spark, sf_dir):
     before, after = _last_run(spark, sf_dir)
     return health.health_report(after, before)
+
+
+@query(_STREAKS + " SELECT CAST(3 AS INTEGER) AS threshold, (SELECT count(*) FROM l) AS total_failing, (SELECT count(*) FROM l WHERE n >= 3) AS unhealthy, (SELECT count(*) FROM l WHERE n < 3) AS degraded, (SELECT count(*) FROM p WHERE source_url NOT IN (SELECT source_url FROM l)) AS recovered")
+def health_counts(spark, sf_dir):
+    before, after = _last_run(spark, sf_dir)
+    return health.health_counts(health.health_report(after, before))
+
+
+@query(f"SELECT source_url, count(*) > 0 AS failed, arg_max(event_type || ' at ' || day, event_id) AS reason FROM ({E}) WHERE event_type IN ('error', 'purchase') GROUP BY 1")
+def failures_of_run(spark, sf_dir):
+    """Several failures of a source in one run: the last one counts."""
+    e = lab(spark, sf_dir, "lab_events").where("event_type in ('error', 'purchase')")
+    rows = e.select("source_url", "source_name", F.concat("event_type", F.lit(" at "), "day").alias("reason"), F.col("event_id").alias("ord"))
+    return health.failures_of_run(rows).select("source_url", F.lit(True).alias("failed"), "reason")

@@ -88,7 +88,15 @@ def issues(spark, tmp_path, *lines):
         ({}, []),
         ({"title": ...}, [("missing_required", "line 1.title")]),
         ({"title": None}, [("invalid_type", "line 1.title")]),
-        ({"title": " "}, [("string_empty", "line 1.title")]),
+        ({"title": ""}, [("string_empty", "line 1.title")]),
+        ({"title": " "}, []),
+        ({"published_at": "20240506T070809Z"}, []),
+        ({"published_at": "2024-05-06T07Z"}, []),
+        ({"published_at": "2024-W19-1T07:08:09+00:00"}, []),
+        ({"published_at": "2024-05-06T07:08:09+01:02:03"}, []),
+        ({"published_at": "2024-02-30T07:08:09Z"}, [("invalid_timestamp", "line 1.published_at")]),
+        ({"published_at": "2023-W53-1T07:08:09Z"}, [("invalid_timestamp", "line 1.published_at")]),
+        ({"published_at": "2024-05-06T25:00Z"}, [("invalid_timestamp", "line 1.published_at")]),
         ({"cves": ["CVE-2024-1234", " x"]}, [("unclean_string", "line 1.cves[1]")]),
         ({"products": [1]}, [("invalid_type", "line 1.products[0]")]),
         ({"enrichment": {"version": True, "enriched_at": "2024-05-06T07:08:09Z", "cves": [], "products": [], "techniques": [], "odd": 1}}, [("unexpected_field", "line 1.enrichment.odd"), ("invalid_enrichment_version", "line 1.enrichment.version")]),
