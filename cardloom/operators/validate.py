@@ -83,15 +83,15 @@ _PLACES = [f"$.{f}" for f in schemas.REQUIRED] + ["$.enrichment"] + [f"$.enrichm
 
 
 def opened(raw: DataFrame) -> DataFrame:
-    """The JSON objects of raw (line_no, v), with their fields, kinds and texts taken out.
+    """raw (line_no, v) with x: the fields, kinds and texts of a JSON object, null for other lines.
 
     x is an array with one struct for each place; the lambda's argument is
-    computed once, so no check reads the JSON again.
+    computed once, so no check reads the JSON again. Lines are marked, not
+    filtered: a filter would be pushed below what makes v, and compute it twice.
     """
     parts = F.array(*[F.try_variant_get("v", p, "variant") for p in _PLACES])
     x = F.transform(parts, lambda v: F.struct(F.schema_of_variant(v).alias("kind"), F.try_variant_get(v, "$", "string").alias("text"), v.alias("v")))
-    rows = raw.withColumn("__whole", F.schema_of_variant("v")).where(F.col("__whole").startswith("OBJECT")).drop("__whole")
-    return rows.withColumn("x", x)
+    return raw.withColumn("x", F.when(F.schema_of_variant("v").startswith("OBJECT"), x))
 
 
 def _place(path: str) -> Column:
@@ -161,7 +161,7 @@ def card_issues(raw: DataFrame) -> DataFrame:
         checks.append(_one(_type(f"$.{f}").isNotNull() & code.isNotNull(), 7, code, f"$.{f}"))
     checks += [_one(has_injection(_text(f"$.{f}")), 8, "prompt_injection_pattern", f"$.{f}") for f in ("title", "summary")]
     checks += _enrichment_issues()
-    found = F.flatten(F.array_compact(F.array(*checks)))
+    found = F.when(F.col("x").isNotNull(), F.flatten(F.array_compact(F.array(*checks))))
     # an outer explode: for a plain one the optimiser would compute all checks twice, once to filter
     return opened(raw).select("line_no", F.explode_outer(found).alias("i")).where("i is not null").select("line_no", "i.*")
 
@@ -200,8 +200,10 @@ def walk_text(raw: DataFrame) -> DataFrame:
     fields = [one(f"$.{f}") for f in (*schemas.STRING_LIMITS, *schemas.ENUMS)] + [many(f"$.{f}") for f in schemas.LIST_LIMITS]
     fields += [one("$.enrichment.enriched_at")] + [many(f"$.enrichment.{f}") for f in schemas.LIST_LIMITS]
     objects = opened(raw)
-    native = objects.select("line_no", F.posexplode(F.filter(F.flatten(F.array(*fields)), lambda s: s["text"].isNotNull())).alias("item_ord", "s")).select("line_no", "item_ord", "s.*")
-    other = objects.where(F.size(F.array_except(F.json_object_keys(F.to_json("v")), F.array(*map(F.lit, known)))) > 0).select("line_no", F.to_json("v").alias("line"))
+    texts = F.when(F.col("x").isNotNull(), F.filter(F.flatten(F.array(*fields)), lambda s: s["text"].isNotNull()))
+    native = objects.select("line_no", F.posexplode_outer(texts).alias("item_ord", "s")).where("s is not null").select("line_no", "item_ord", "s.*")
+    extra = F.size(F.array_except(F.json_object_keys(F.to_json("v")), F.array(*map(F.lit, known)))) > 0
+    other = objects.select("line_no", F.when(F.col("x").isNotNull() & extra, F.to_json("v")).alias("line"))
 
     def walk(batches):
         import json
@@ -221,7 +223,7 @@ def walk_text(raw: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for n, line in zip(batch.column("line_no").to_pylist(), batch.column("line").to_pylist(), strict=True):
-                rest = {k: v for k, v in json.loads(line).items() if k not in known}
+                rest = {k: v for k, v in json.loads(line).items() if k not in known} if line else {}
                 rows += [(n, 1000 + i, at, t) for i, (at, t) in enumerate(strings(rest, "$"))]
             cols = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.string(), pa.string()), strict=True)], ["line_no", "item_ord", "location", "text"])
