@@ -1,16 +1,14 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-A run holds, sorted and bucketed by the hash of a line's key, the number of
-documents that have the line and the largest id among them. A batch of
-documents adds a run of its own, without a look at the others; once a level
-holds `fanout` runs, they are merged into one run of the next level. All runs
-are bucketed alike, so merging them and joining a batch to them needs no
+Batches of documents come in descending order of their ids. A run holds, sorted
+and bucketed by the hash of a line's key, the number of documents of a batch that
+have the line and the largest id among them. Each batch is merge-anti-joined with
+the lines that the runs have settled (seen in enough documents; their largest id
+is known, since later batches hold smaller ids) and adds a run of the rest. Once
+a level holds `fanout` runs, they are merged into one run of the next level. All
+runs are bucketed alike, so merging them and joining a batch to them needs no
 shuffle of the runs.
 
-Whether a line is dropped hangs on its count over all batches, so dedup_lines
-joins the documents to the merged counts; the anti-join of a batch against the
-runs (unseen_lines) is not on its path.
-
 A line's key is the line stripped of ASCII white space, A-Z lower-cased.
 """
 
@@ -47,18 +45,19 @@ def long_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return keyed.select("doc_id", "th", "pos", F.unhex(F.md5(F.col("key").cast("binary"))).alias("h"))
 
 
-def line_counts(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Rows h, n_docs, max_doc for the documents given; a line counts once for a document."""
-    own = long_lines(docs, min_chars).select("h", "doc_id").distinct()
+def line_counts(lines_: DataFrame) -> DataFrame:
+    """Rows h, n_docs, max_doc for rows of long_lines; a line counts once for a document."""
+    own = lines_.select("h", "doc_id").distinct()
     return own.groupBy("h").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc"))
 
 
 class LineRuns:
     """The levelled runs, as bucketed tables of the session's warehouse."""
 
-    def __init__(self, spark: SparkSession, buckets: int = 32, fanout: int = 4, min_chars: int = MIN_CHARS):
-        self.spark, self.buckets, self.fanout, self.min_chars = spark, buckets, max(2, fanout), min_chars
+    def __init__(self, spark: SparkSession, buckets: int = 32, fanout: int = 2, min_docs: int = MIN_DOCS):
+        self.spark, self.buckets, self.fanout, self.min_docs = spark, buckets, max(2, fanout), min_docs
         self.levels: list[list[str]] = []
+        self.compactions = 0
 
     def _write(self, run: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
@@ -79,25 +78,26 @@ class LineRuns:
             return self.spark.createDataFrame([], "h binary, n_docs long, max_doc long")
         return self._merged([n for level in self.levels for n in level])
 
-    def unseen_lines(self, batch: DataFrame) -> DataFrame:
-        """The batch's long lines whose hash is in no run: the merge anti-join."""
-        return long_lines(batch, self.min_chars).join(self.seen(), "h", "left_anti")
+    def frequent(self) -> DataFrame:
+        """Rows h, max_doc of the lines in at least min_docs documents."""
+        return self.seen().where(F.col("n_docs") >= self.min_docs).select("h", "max_doc")
+
+    def unsettled(self, counts: DataFrame) -> DataFrame:
+        """A batch's counts without the lines that the runs have settled: the merge anti-join."""
+        return counts.join(self.frequent().select("h"), "h", "left_anti") if any(self.levels) else counts
 
     def add(self, batch: DataFrame) -> None:
-        """Adds the batch's run; batches must not share documents. Compacts full levels."""
-        self._write(line_counts(batch, self.min_chars), 0)
+        """Adds the run of a batch (rows of long_lines), all of whose ids are below those before. Compacts full levels."""
+        self._write(self.unsettled(line_counts(batch)), 0)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             full = self.levels[level]
             self._write(self._merged(full), level + 1)
             self.levels[level] = []
             self._drop(full)
+            self.compactions += 1
             level += 1
 
-    def frequent(self, min_docs: int = MIN_DOCS) -> DataFrame:
-        """Rows h, max_doc of the lines in at least min_docs documents."""
-        return self.seen().where(F.col("n_docs") >= min_docs).select("h", "max_doc")
-
     def _drop(self, names: list[str]) -> None:
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name} PURGE")
@@ -107,13 +107,16 @@ class LineRuns:
         self.levels = []
 
 
-def id_batches(docs: DataFrame, n: int) -> list[DataFrame]:
-    """Splits documents into n batches of ascending doc_id."""
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if low is None:
-        return [docs]
-    width = max(1, -(-(high - low + 1) // n))
-    return [docs.where(F.col("doc_id").between(low + i * width, low + (i + 1) * width - 1)) for i in range(n) if low + i * width <= high]
+def id_batches(rows: DataFrame, n: int) -> list[DataFrame]:
+    """rows in at most n batches of about equal size and descending doc_id; no doc_id is in two."""
+    borders = rows.agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(1, n)]), 10_000)).first()[0] if n > 1 else None
+    borders = sorted(set(borders or []))
+    out, high = [], None
+    for low in [*reversed(borders), None]:
+        own = F.lit(True) if low is None else F.col("doc_id") > low
+        out.append(rows.where(own if high is None else own & (F.col("doc_id") <= high)))
+        high = low
+    return out
 
 
 def dedup_lines(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, buckets: int | None = None) -> DataFrame:
@@ -122,18 +125,22 @@ def dedup_lines(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, m
     Keeps all columns of docs, with text replaced by what stays (lines joined by
     newlines; the empty string if none) and n_lines, n_dropped appended. Null
     and empty texts are one empty line and keep it. Repeated rows of one doc_id
-    count as one document and lose the same lines. Null doc_ids lose none. An
-    empty table gives an empty table. Columns of other names pass through.
+    count as one document and lose the same lines. Null doc_ids lose none. Very
+    long texts are split whole, a row for each long line. An empty table gives an
+    empty table. Columns of other names pass through.
     """
     spark = docs.sparkSession
-    runs = LineRuns(spark, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), fanout=batches, min_chars=min_chars)
-    for batch in id_batches(docs.select("doc_id", "text"), batches):
-        runs.add(batch)
-    frequent = cut_lineage(runs.frequent(min_docs))
-    runs.close()
+    found = cut_lineage(long_lines(docs.select("doc_id", "text"), min_chars))
+    runs = LineRuns(spark, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), min_docs=min_docs)
+    try:
+        for batch in id_batches(found, batches):
+            runs.add(batch)
+        frequent = cut_lineage(runs.frequent())
+    finally:
+        runs.close()
 
     # positions, not lines, travel back to the documents
-    dropped = long_lines(docs.select("doc_id", "text"), min_chars).join(frequent, "h").where("doc_id < max_doc")
+    dropped = found.join(frequent, "h").where("doc_id < max_doc")
     by_doc = dropped.groupBy(F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).agg(F.collect_set("pos").alias("__drop"))
     own, n = lines(F.col("text")), F.size(lines(F.col("text")))
     keep = F.array_except(F.sequence(F.lit(0), n - 1), F.col("__drop"))

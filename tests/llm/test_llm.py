@@ -54,16 +54,25 @@ def test_line_dedup(spark, batches):
     assert [got[i] for i in range(len(texts))] == brute_lines(texts)
 
 
-def test_line_runs_compact_and_anti_join(spark):
-    runs = linededup.LineRuns(spark, buckets=2, fanout=2)
+def test_line_runs_compact_and_anti_join(spark, monkeypatch):
+    runs = linededup.LineRuns(spark, buckets=2)
     line = "a line that is long enough"
-    for i in range(4):
-        runs.add(frame(spark, [line, f"another line, number {i} of four"]).withColumn("doc_id", F.col("doc_id") + 10 * i))
-    assert [len(level) for level in runs.levels] == [0, 0, 1]
-    assert runs.unseen_lines(frame(spark, [line + "\n" + "this line is new to all the runs"])).count() == 1
-    assert {r["max_doc"] for r in runs.frequent(3).collect()} == {30}
+    for i in reversed(range(5)):
+        docs = frame(spark, [line, f"another line, number {i} of five"]).withColumn("doc_id", F.col("doc_id") + 10 * i)
+        runs.add(linededup.long_lines(docs))
+    assert [len(level) for level in runs.levels] == [1, 0, 1] and runs.compactions == 3
+    # settled after three batches, the line is in no later run
+    assert {(r["max_doc"], r["n_docs"]) for r in runs.seen().where("n_docs > 1").collect()} in ({(40, 3)}, {(40, 4)})
+    assert {r["max_doc"] for r in runs.frequent().collect()} == {40}
+    counts = linededup.line_counts(linededup.long_lines(frame(spark, [line + "\n" + "this line is new to all the runs"])))
+    assert runs.unsettled(counts).count() == 1
     runs.close()
     assert linededup.dedup_lines(frame(spark, [])).count() == 0
+    calls = []
+    plain = linededup.LineRuns.unsettled
+    monkeypatch.setattr(linededup.LineRuns, "unsettled", lambda self, c: calls.append(1) or plain(self, c))
+    linededup.dedup_lines(frame(spark, [f"{line}\n{i}" for i in range(40)]), buckets=2).count()
+    assert len(calls) == 4  # dedup_lines goes through the anti-join in each batch
 
 
 # ---- benchmark
@@ -159,7 +168,7 @@ def test_packing(spark):
     rng = random.Random(4)
     texts = odd_texts() + [sentence(rng, rng.randrange(1, 900)) for _ in range(60)]
     rows = packing.pack(frame(spark, texts, True), TOKENIZER, capacity=512, shard_pieces=30).collect()
-    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path(TOKENIZER))
     by = {}
     for r in rows:
         by.setdefault(r["doc_id"], []).append(r)
@@ -187,9 +196,9 @@ def test_packing(spark):
 def test_tokenizer_parts_equal_whole_texts():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path(TOKENIZER))
     texts = ["naïve café's don't I'LL", "J̌ x", "a\x1cb", "İstanbul ΣΑΣ", "<|endoftext|> hi", "x²½ ³", "_a_b", "ñ!!'s it's|", "日本語 テスト　x", "ǅ ǆ Ÿ ß ẞ", "a\u0085b", "ƻǀ ʔ"]
-    for t, ids in zip(texts, packing.tokenizer_ids(TOKENIZER)(texts), strict=True):
+    for t, ids in zip(texts, packing.tokenizer_ids(packing.tokenizer_path(TOKENIZER))(texts), strict=True):
         assert ids == b"".join(i.to_bytes(4, "little") for i in tokenizer.encode(t, add_special_tokens=False).ids)
 
 
