@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,17 +25,14 @@ def fold(doc_id: str, n: int) -> Column:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Writes df to the cluster's checkpoint folder and reads it from there.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset
-    (tests on one machine) a temporary folder is made.
+    The folder is the session's spark.checkpoint.dir; where that is unset (tests
+    on one machine) it lies in the warehouse, which executors share too.
     """
     spark = df.sparkSession
     context = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if at:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(at)
-    elif context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cardloom-checkpoint-"))
+    if context.getCheckpointDir() is None:
+        at = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        context.setCheckpointDir(at or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return df.checkpoint()
 
 

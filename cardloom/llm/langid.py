@@ -14,10 +14,10 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.common import bounded_sample, fold, text_slices
+from cardloom.llm.common import fold, text_slices
 
 PER_LANGUAGE = 500  # most documents of a language to learn from
-MOST_LANGUAGES = 200
+IN_ALL = 8000  # about as many documents to learn from in all; each holds FEATURES floats on the driver
 FEATURES = 1 << 12
 CLOSE = 0.1
 
@@ -127,16 +127,21 @@ class Model:
         return np.stack([np.logaddexp(0, -margin * c) @ self.bit_weight for c in self.code], 1) / self.bit_weight.sum()
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_ALL) -> Model:
     """Learns from a bounded sample of the documents given; null languages and texts are left out.
 
-    Languages beyond the MOST_LANGUAGES most frequent ones are not learned.
+    Every language has its share of the sample: per_language documents, or fewer
+    where there are so many languages that in_all would be passed.
     """
     import numpy as np
 
     known = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    common = [r[0] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
-    rows = bounded_sample(known, "lang", dict.fromkeys(common, per_language)).collect()
+    counts_ = known.groupBy("lang").count()
+    n = counts_.count()
+    share = max(1, min(per_language, in_all // max(n, 1)))
+    # a hash of id and text picks the rows
+    u = F.xxhash64("doc_id", "text", F.lit("sample")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+    rows = known.join(counts_, "lang").where(u < 1.2 * share / F.col("count")).drop("count").limit(2 * max(in_all, n)).collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))
     languages = sorted({r["lang"] for r in rows})
     if not languages:

@@ -30,6 +30,15 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def tokenizer_path(tokenizer: str) -> str:
+    """A path as it is; the path, on this machine, of a public tokenizer's file name."""
+    if "/" in tokenizer:
+        return tokenizer
+    import public_tokenizers
+
+    return public_tokenizers.path(tokenizer)
+
+
 def tokenizer_ids(path: str, cached: int = 500_000):
     """Function: texts -> list of little-endian uint32 bytes.
 
@@ -97,7 +106,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id:
         import pyarrow as pa
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = tokenizer_ids(tokenizer)
+        encode = tokenizer_ids(tokenizer_path(tokenizer))
         for batch in batches:
             own = batch.column("doc_id").to_pylist()
             for first, texts in text_slices(batch):
@@ -174,7 +183,9 @@ def _pack(pieces: DataFrame, shards: int, capacity: int, level: int) -> DataFram
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, shard_pieces: int = 20_000) -> DataFrame:
     """Packs all documents; rows doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    shard_pieces bounds what one task packs. An empty table gives no rows; ties
+    tokenizer: a path, or the file name of a public tokenizer. shard_pieces bounds
+    what one task packs. A null text is empty, a very long one is cut into pieces,
+    repeated rows and null ids are packed like any other. An empty table gives no rows; ties
     are broken by doc_id, piece and checksum, so a lost task gives the same
     packing again. Pieces that fill a sequence need no partner and stay out of
     the shards.

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.llm import decontam, fingerprint, langid, linededup, neardup, packing, pii, quality, secret_scan, toxicity
 from cardloom.llm.common import table
 
-TOKENIZER = os.environ.get("CARDLOOM_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
+TOKENIZER = "word_bpe_49k.json"  # a public tokenizer's name; each worker looks up its path
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -254,10 +254,12 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLE
 
 
 def score(docs: DataFrame, grammar: Grammar, weights: list[float]) -> DataFrame:
-    """Rows doc_id, score, forms for every whole text; null and empty texts have no clauses.
+    """docs without text, with score, forms for every whole text; null and empty texts have no clauses.
 
-    Repeated rows get equal rows, other columns are ignored, an empty table gives an empty table.
+    Repeated rows and null ids get rows of their own, very long texts are read
+    clause by clause, an empty table gives an empty table.
     """
+    kept = [c for c in docs.columns if c != "text"]
 
     def run(batches):
         import math
@@ -265,17 +267,24 @@ def score(docs: DataFrame, grammar: Grammar, weights: list[float]) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            own = batch.column("doc_id")
+            own = batch.select(kept)
             for first, texts in text_slices(batch):
                 forms = [grammar.forms(t) for t in texts]
                 z = [sum(a * b for a, b in zip(weights, features(f), strict=False)) + weights[-1] for f in forms]
                 s = [1 / (1 + math.exp(-max(-30.0, min(30.0, v)))) for v in z]
-                yield pa.RecordBatch.from_arrays([own.slice(first, len(texts)), pa.array(s), pa.array(forms, pa.list_(pa.float64()))], ["doc_id", "score", "forms"])
+                yield pa.RecordBatch.from_arrays([*own.slice(first, len(texts)).columns, pa.array(s), pa.array(forms, pa.list_(pa.float64()))], [*kept, "score", "forms"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, forms array<double>")
+    flat = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
+    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run, flat + "score double, forms array<double>")
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Learns on folds 0, 1 and 3 of crc32(doc_id) mod 4 and scores all documents."""
+def score_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Learns on folds 0, 1 and 3 of crc32(doc_id) mod 4 and scores all rows of docs, which has text and any other columns."""
     grammar, weights = fit(docs, labels.where(fold("doc_id", 4) != 2))
-    return score(docs, grammar, weights).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "forms")
+    return score(docs, grammar, weights)
+
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted, forms of each document, by score_rows; other columns are ignored."""
+    scored = score_rows(docs.select(F.col("doc_id").cast("long"), "text"), labels)
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "forms")
