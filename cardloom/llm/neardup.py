@@ -260,11 +260,11 @@ def alike(pairs: DataFrame, sigs: DataFrame, size: int, least: float = 0.5625) -
     return both.select("a", "b", "ga", "gb").mapInArrow(compare, "a long, b long")
 
 
-def joined_leftovers(members: DataFrame, joined: DataFrame, sigs: DataFrame, docs: DataFrame, size: int, words: int = WORDS, percent: int = PERCENT, centres: int = 4096) -> DataFrame:
+def joined_leftovers(members: DataFrame, joined: DataFrame, sigs: DataFrame, docs: DataFrame, size: int, words: int = WORDS, percent: int = PERCENT, centres: int = 1024) -> DataFrame:
     """joined (id, component) with what the stars left apart: exactly, by a prefix join of the sets in mixed buckets.
 
     A prefix token's sets that lie in one component need no comparison. Of the
-    others, those outside the token's largest component are centres, some thousands at a
+    others, those outside the token's largest component are centres, some hundreds at a
     time; each is compared with the token's sets of other components that length
     and place in the prefix allow, and then is done there. Components are
     contracted after each turn, and turns go on until no token has two
@@ -296,7 +296,10 @@ def joined_leftovers(members: DataFrame, joined: DataFrame, sigs: DataFrame, doc
             rest = F.least(F.col("n") - F.col("pos"), c["n"] - c["pos"])
             return (c["component"] != F.col("component")) & ((100 + percent) * rest >= percent * (F.col("n") + c["n"]))
 
-        pairs = u.join(some, "token").select("id", F.explode(F.transform(F.filter("cs", fits), lambda c: c["id"])).alias("other"))
+        # a pair may share many prefix tokens: each set's centres are made distinct before they become rows
+        found = u.join(some, "token").select("id", F.transform(F.filter("cs", fits), lambda c: c["id"]).alias("others")).where(F.size("others") > 0)
+        each = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+        pairs = each.select("id", F.explode("others").alias("other"))
         pairs = cut_lineage(pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
         n = pairs.count()
         near = cut_lineage(gathered(alike(gathered(pairs, n), sigs, size), n))
