@@ -239,3 +239,62 @@ def test_health_queries_fold_the_whole_history(spark, tmp_path):
     assert state("twelve", 12) == ({1: 10, 3: 1}, {1: ("unhealthy", 10), 2: ("recovered", 0), 3: ("degraded", 1)})
     assert state("four", 4) == ({1: 2, 3: 1}, {1: ("degraded", 2), 2: ("recovered", 0), 3: ("degraded", 1)})
     assert state("one", 1) == ({3: 1}, {3: ("degraded", 1)}) and state("none", 0) == ({}, {})
+
+
+def test_parse_failures_missing_responses_and_ports(spark):
+    sources = spark.createDataFrame([(i, f"n{i}", u, 9) for i, u in enumerate(["https://a.example.org/", "https://b.example.org/", "https://c.example.org/", "http://localhost/", "https://d.example.org/", "https://e.example.org/"])], schemas.SOURCES)
+    row = lambda u, body, eff=None: (1, u, eff, 200, {"ETag": "e"}, body, None, "2024-05-07T00:00:00Z")
+    responses = spark.createDataFrame(
+        [row("https://a.example.org/", b"<rss><broken"), row("https://b.example.org/", b"<html/>"), row("https://c.example.org/", RSS), row("https://e.example.org/", RSS, "https://e.example.org:99999/")], schemas.RESPONSES
+    )
+    got = collect.parse_responses(collect.classify_responses(responses, sources))
+    assert [r["outcome"] for r in got.orderBy("source_ord").collect()] == ["malformed_xml", "unsupported_feed", "fetched", "unsupported_url", "fetch_error", "fetch_error"]
+    assert [r["reason"] for r in collect.failures(got).collect()] == ["malformed_xml", "unsupported_feed", "unsupported_url", "fetch_error", "fetch_error"]
+    assert collect.fetched_state(got).count() == 1
+    assert collect.new_snapshots(got, spark.createDataFrame([], "raw_sha256 string, content binary")).count() == 1
+    cards = collect.build_cards(collect.entries_of_batch(got))
+    assert sorted(r["title"] for r in cards.collect()) == ["One", "Two & more"]
+    store = cards.where("title = 'One'")
+    both = collect.append_cards(store, collect.new_cards(cards, store))
+    assert both.count() == 2 and both.where("title = 'One'").first()["id"] == store.first()["id"]
+
+
+@pytest.mark.parametrize(
+    ("effective", "want"),
+    [("https://A.Example.org./x", None), ("https://a.example.org:8443/", None), ("https://a.example.org:99999/", "invalid_url"), ("https://a.example.org:x/", "invalid_url"), ("https://a.example.org:0/", "invalid_url"), ("https://[::1/", "invalid_url"), ("nonsense", "scheme"), ("mailto:x@y", "scheme"), ("https://u:p@a.example.org/", "userinfo"), ("https:///x", "invalid_url"), ("https://b.example.org/", "cross_host"), ("http://a.example.org/", "downgrade"), (None, "invalid_url")],
+)
+def test_redirect_reasons(spark, effective, want):
+    assert col(spark, [effective], lambda c: urls.redirect_reason(F.lit("https://a.example.org/"), c)) == [want]
+
+
+def test_invalid_cards_leave_the_old_release(spark, tmp_path):
+    path = str(tmp_path / "rel")
+    old = release.publish_release(typed(spark, card()), path, "now").first()
+    for bad in (card(title=""), card(summary="password = synthetic-value-0001"), card(confidence="sure")):
+        with pytest.raises(ValueError, match="not valid"):
+            release.publish_release(typed(spark, card(id="card-0123456789ac"), bad), path, "later")
+    with pytest.raises(ValueError, match="duplicate_id"):
+        release.publish_release(typed(spark, card(), card(title="other")), path, "later")
+    assert release.read_manifest(spark, path).first() == old and release.verify_release(spark, path).isEmpty()
+    new = release.publish_release(typed(spark, card(), card(id="card-0123456789ac")), path, "later").first()
+    assert new["version"] == 2 and new["folder"] != old["folder"] and spark.read.parquet(f"{old['folder']}/cards").count() == 1
+
+
+def test_state_ids_and_canonical_lines(spark, tmp_path):
+    state = spark.createDataFrame([("u", "e", "m", "r", "t")], schemas.STATE)
+    writers.write_state(state, str(tmp_path / "state"))
+    assert readers.read_state(spark, str(tmp_path / "state")).collect() == state.collect()
+    sick = spark.createDataFrame([("u", "n", 2, "t", "r"), ("v", "n", 0, "t", "r"), ("w", None, 1, "t", "r")], schemas.HEALTH)
+    writers.write_health(sick, str(tmp_path / "health"))
+    assert [r["source_url"] for r in readers.read_health(spark, str(tmp_path / "health")).collect()] == ["u"]
+    c = card(title="Café 😀", cves=["CVE-2024-1234"])
+    writers.write_cards_jsonl(typed(spark, c), str(tmp_path / "lines"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "lines")).collect()] == [json.dumps(c, sort_keys=True, separators=(",", ":"))]
+    raw = readers.read_cards_raw(spark, str(tmp_path / "lines"))
+    assert [r["id"] for r in readers.existing_ids(raw).collect()] == [c["id"]]
+
+
+def test_enrichment_leaves_texts_alone(spark):
+    first = typed(spark, card(title="A <b>SAML</b> &amp; more", summary="  two  blanks "))
+    e = enrich.enrich(first, "now").first()
+    assert (e["title"], e["summary"], e["content_sha256"]) == ("A <b>SAML</b> &amp; more", "  two  blanks ", "a" * 64)
