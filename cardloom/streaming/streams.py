@@ -6,21 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom import schemas
-from cardloom.operators.collect import build_cards, classify_responses, new_cards
-from cardloom.operators.feeds import parse_feeds
+from cardloom.operators.collect import build_cards, classify_responses, entries_of_batch, failures, new_cards, parse_responses
 
 
-def stream_collect(spark: SparkSession, in_dir: str, sources: DataFrame, store: str, checkpoint: str):
+def stream_collect(spark: SparkSession, in_dir: str, sources: DataFrame, store: str, checkpoint: str, failed: str | None = None):
     """Starts a query that turns new response files into cards in the Parquet store.
 
     Each batch is compared with the whole store, so the first version of a card
-    wins at any distance, and a batch that is replayed adds nothing.
+    wins at any distance, and a batch that is replayed adds nothing. Bodies that
+    are no feeds give no cards; with `failed`, a batch's failures replace those in
+    its own folder below it, so that a replay does not repeat them.
     """
     from cardloom.sources.readers import _read_or_empty
 
-    def add(batch: DataFrame, _) -> None:
-        got = classify_responses(batch, sources).where("outcome = 'fetched'")
-        cards = build_cards(parse_feeds(got.select("source_ord", "name", "url", "max_entries", "fetched_at", "content")))
+    def add(batch: DataFrame, number: int) -> None:
+        # sources that have no response in this batch are not judged by it
+        asked = sources.join(batch.select(F.col("source_url").alias("url")), "url", "left_semi").select(*sources.columns)
+        got = parse_responses(classify_responses(batch, asked))
+        if failed:
+            failures(got).write.mode("overwrite").parquet(f"{failed}/batch={number}")
+        cards = build_cards(entries_of_batch(got))
         known = _read_or_empty(spark, store, schemas.CARD)
         new_cards(cards, known).select(*schemas.names(schemas.CARD)).write.mode("append").parquet(store)
 

@@ -179,8 +179,12 @@ def test_streamed_cards_equal_batch(spark, tmp_path):
     store = str(tmp_path / "store")
     for n in range(2):
         response.write.mode("append").parquet(str(tmp_path / "in"))
-        stream_collect(spark, str(tmp_path / "in"), sources, store, str(tmp_path / "cp")).awaitTermination()
+        stream_collect(spark, str(tmp_path / "in"), sources, store, str(tmp_path / "cp"), str(tmp_path / "failed")).awaitTermination()
         assert spark.read.parquet(store).count() == 2, n
+    broken = spark.createDataFrame([(2, "https://f.example.org/", None, 200, {}, b"<html/>", None, "2024-05-08T00:00:00Z")], schemas.RESPONSES)
+    broken.write.mode("append").parquet(str(tmp_path / "in"))
+    stream_collect(spark, str(tmp_path / "in"), sources, store, str(tmp_path / "cp"), str(tmp_path / "failed")).awaitTermination()
+    assert spark.read.parquet(store).count() == 2 and [r["reason"] for r in spark.read.parquet(str(tmp_path / "failed")).collect()] == ["unsupported_feed"]
 
 
 def test_streamed_health(spark, tmp_path):
