@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cardloom.llm.common import fold, text_slices
 
 PER_LANGUAGE = 500  # most documents of a language to learn from
+SENT = 100_000  # most languages whose counts are sent to every executor, instead of the texts to them
 IN_ALL = 8000  # about as many documents to learn from in all; each holds FEATURES floats on the driver
 FEATURES = 1 << 12
 CLOSE = 0.1
@@ -141,7 +142,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_ALL)
     share = max(1, min(per_language, in_all // max(n, 1)))
     # a hash of id and text picks the rows
     u = F.xxhash64("doc_id", "text", F.lit("sample")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
-    rows = known.join(counts_, "lang").where(u < 1.2 * share / F.col("count")).drop("count").limit(2 * max(in_all, n)).collect()
+    rows = known.join(F.broadcast(counts_) if n <= SENT else counts_, "lang").where(u < 1.2 * share / F.col("count")).drop("count").limit(2 * max(in_all, n)).collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))
     languages = sorted({r["lang"] for r in rows})
     if not languages:
