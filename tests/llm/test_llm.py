@@ -307,6 +307,63 @@ def test_long_windows_lose_no_span(spark):
         assert r["spans"] == ",".join(f"phone:{2 * k + 25 * i + 5}:{2 * k + 25 * i + 20}" for i in range(300))
 
 
+#: Labelled lines that the field has not learned from.
+HELD_OUT = """
+a note to {email:finn dot oak at desk dot example dot com} helps
+for press {email:media [at] firm [dot] example [dot] org} only
+mail {email:lou.bee (at) example.net} at any time
+then {email:sam at example dot com} replied
+and {email:kit_4 @ host . example . net} bounced
+it came from {email:team at club dot example dot com} , i think
+forms go to {email:desk (at) town (dot) example (dot) org} by friday
+copy {email:vic.n [at] web.example.com} too
+she is {email:jo dot may at home dot example dot net} now
+ring me at {phone:(040) 5550 2218} later
+phone : {phone:718-555-0147} .
+my mobile , {phone:0172 5550 9911} , is off
+tel {phone:(503) 555-0126} or mail
+fax {phone:0161 496 0330} works too
+call {phone:312.555.0199} at once
+from abroad dial {phone:00 44 161 496 0442} please
+gateway {ip:192 . 0 . 2 . 17} is slow
+blocked {ip:198[.]51[.]100[.]77} last night
+the box at {ip:203 dot 0 dot 113 dot 21} hums
+we saw {ip:10 [.] 8 [.] 0 [.] 14} again
+card {card:3530.1113.3330.0000} expired
+with {card:6011/1111/1111/1117} on file
+card {card:5555_5555_5555_4444} was declined
+they sat at the table by the dot matrix printer
+come at 7 , eat at 8 , sleep at 11
+from 2015 to 2018 it grew by 3.5 or 4.5 percent
+release 4.2.11.3 fixes page 12 of the guide
+he drew a dot at the corner and a line at the top
+invoice 88213456 of 2021-03-04 at 09:20
+psalm 119 , verses 1 - 8 and 9 - 16
+columns 5 6 7 8 were empty in table 31
+hash 77fe01ab93cd5512 of 2048 bytes
+it cost 2,500,000.00 in 1987
+a dot com firm at the edge of town
+""".strip().splitlines()
+
+
+def test_field_on_held_out_lines(spark):
+    want, texts = [], []
+    for line in HELD_OUT:
+        plain, at = "", 0
+        for m in re.finditer(r"\{(\w+):([^}]*)\}", line):
+            plain += line[at : m.start()]
+            want.append((len(texts), f"{m[1]}:{len(plain)}:{len(plain) + len(m[2])}"))
+            plain, at = plain + m[2], m.end()
+        texts.append(plain + line[at:])
+    assert not {line.replace("{", "").replace("}", "") for line in pii.LABELLED} & set(texts)
+    rows = pii.find(frame(spark, texts)).collect()
+    base = {(i, s) for i, t in enumerate(texts) for s in pii.joined(pii.base_spans(t)).split(",")}  # a release number, and no span wanted
+    got = {(r["doc_id"], s) for r in rows for s in r["spans"].split(",") if s} - base
+    assert not base & set(want)
+    right = len(got & set(want))
+    assert right >= 0.9 * len(want) and right >= 0.9 * len(got)
+
+
 # ---- models
 
 
