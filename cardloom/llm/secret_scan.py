@@ -3,9 +3,10 @@
 Candidates are the values in the words of a text, as white space parts it: each
 word is cut at = : ; , & and quotes. A value counts if it is long and holds a
 digit, or stands next to a key word. Each is described by its length, the changes between letters and
-digits, its case and alphabet, how much of it common words cover, whether it
-looks like a path, address or number, and the words before and after it. A
-random forest trained on labelled findings tells secrets from the rest.
+digits, how likely its letters follow each other in the corpus's own words, its
+case and alphabet, how much of it such words cover, whether it looks like a
+path, address or number, and the words before and after it. A random forest
+trained on labelled findings tells secrets from the rest.
 
 Everything is DataFrame operations and the library's own forest; no Python runs
 on executors.
@@ -18,9 +19,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardloom.llm.common import cut_lineage
+
 LEAST_CHARS = 12
 EXAMPLES = 4000  # labelled findings to learn from
 TREES, DEPTH = 24, 8
+LETTERS = 26
+SALTS = 16  # a value that many documents hold is joined in so many parts
 
 #: Words that stand before secrets, and before harmless strings of the same looks.
 KEYS = ("token", "password", "passwd", "pwd", "secret", "api_key", "apikey", "api-key", "key", "auth", "authorization", "bearer", "credential", "private")
@@ -83,8 +88,44 @@ def candidates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "th", "pos", "part", "value", "word", F.when(first, F.col("before")).otherwise("").alias("before"), F.when(first, F.col("before2")).otherwise("").alias("before2"), "after")
 
 
-def features(rows: DataFrame) -> DataFrame:
-    """rows with a vector column features, from value, word, before, before2 and after."""
+def vocabulary(docs: DataFrame, documents: int = 3) -> DataFrame:
+    """Rows run: words of three letters or more, with nothing else in them, that so many texts hold, and the words named above."""
+    own = F.regexp_extract_all(F.col("text"), F.lit(r"""(?<![^\s"'(])\p{Lu}?\p{Ll}{2,}(?![^\s.,;:!?"')])"""), F.lit(0))
+    held = docs.select(F.explode(F.array_distinct(F.transform(own, F.lower))).alias("run")).where("length(run) > 2")
+    often = held.groupBy("run").agg(F.count("*").alias("n")).where(F.col("n") >= documents).select("run")
+    named = sorted({part for w in (*KEYS, *HARMLESS, *COMMON) for part in w.replace("_", "-").split("-") if part.isalpha() and len(part) > 2})
+    return often.union(docs.sparkSession.createDataFrame([(w,) for w in named], "run string")).distinct()
+
+
+def transitions(known: DataFrame) -> list[float]:
+    """Log of the share of each letter after each in the words (run): LETTERS * LETTERS values, whatever the corpus."""
+    import math
+
+    pair = F.transform(F.sequence(F.lit(1), F.length("run") - 1), lambda i: F.col("run").substr(i, F.lit(2)))
+    rows = known.select(F.explode(pair).alias("pair")).where(F.col("pair").rlike("^[a-z]{2}$")).groupBy("pair").count().collect()
+    n = [1.0] * (LETTERS * LETTERS)
+    for r in rows:
+        n[(ord(r["pair"][0]) - 97) * LETTERS + ord(r["pair"][1]) - 97] += r["count"]
+    total = [sum(n[k : k + LETTERS]) for k in range(0, len(n), LETTERS)]
+    return [math.log(c / total[k // LETTERS]) for k, c in enumerate(n)]
+
+
+def covered(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """rows with coverage: the share of value in runs of letters that are known words.
+
+    Each distinct value is looked up once; the answers are dealt over SALTS parts,
+    so that a value of very many rows is no hot key.
+    """
+    runs = F.split(F.lower(F.regexp_replace("value", r"(\p{Ll})(\p{Lu})", "$1 $2")), r"[^\p{L}]+")
+    parts = rows.select("value").distinct().select("value", F.explode(F.filter(runs, lambda r: F.length(r) > 2)).alias("run"))
+    found = parts.join(known, "run").groupBy("value").agg((F.sum(F.length("run")) / F.greatest(F.length("value"), F.lit(1))).alias("coverage"))
+    dealt = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*[c for c in ("doc_id", "th", "pos", "word") if c in rows.columns]), F.lit(SALTS)).cast("int"))
+    return salted.join(dealt, ["value", "salt"], "left").drop("salt").withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))
+
+
+def features(rows: DataFrame, likely: list[float]) -> DataFrame:
+    """rows with a vector column features, from value, word, before, before2, after and coverage."""
     v, n = F.col("value"), F.greatest(F.length("value"), F.lit(1))
     kind = F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
     changes = F.length(F.regexp_replace(F.regexp_replace(F.regexp_replace(kind, "A+", "A"), "a+", "a"), "0+", "0"))
@@ -94,15 +135,21 @@ def features(rows: DataFrame) -> DataFrame:
     ends = lambda c, words: c.rlike(rf"(?:^|[_-])(?:{'|'.join(words)})$")
     keyed = lambda words: ends(bare(F.col("before")), words) | ends(bare(F.col("before2")), words) | ends(own_key, words)
     yes = lambda c: c.cast("double")
+    low = F.lower(v)
+    logs = F.array(*map(F.lit, likely))
+    letter = lambda i: F.ascii(low.substr(i, F.lit(1))) - 97
+    at = F.filter(F.sequence(F.lit(1), F.greatest(F.length(v) - 1, F.lit(1))), lambda i: low.substr(i, F.lit(2)).rlike("^[a-z]{2}$"))
+    follow = F.aggregate(F.transform(at, lambda i: F.get(logs, letter(i) * LETTERS + letter(i + F.lit(1)))), F.lit(0.0), lambda a, x: a + x)
     cols = [
         F.length(v), changes, changes / n, share("0-9"), share("A-Z"), share("a-z"), share("a-fA-F0-9"), share("^A-Za-z0-9"),
         F.size(F.array_distinct(F.split(v, ""))) / n,
-        1 - F.length(F.regexp_replace(F.lower(v), "|".join(COMMON), "")) / n,
+        F.col("coverage"), F.when(F.size(at) > 0, follow / F.size(at)).otherwise(-4.0),
         yes(v.rlike("^[0-9a-f]{32,}$")), yes(v.rlike("^(AKIA|ASIA)[A-Z0-9]{12,}$|^gh[pousr]_|^sk-|^xox[abp]-|^eyJ")),
         yes(v.rlike(r"^[0-9 .,:/()+-]+$")), yes(v.rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")),
         F.length(F.regexp_replace("word", "[^/\\\\]", "")), yes(F.col("word").rlike(r"@|://|\.(com|org|net|html?|png|jpe?g|pdf|txt|csv)\b")),
         yes(F.col("word").contains("=")), yes(F.col("before").isin("=", ":", "=>", ":=")), yes(keyed(KEYS)), yes(keyed(HARMLESS)),
-        yes(F.col("word").rlike("[\"']")), yes(F.lower(v).rlike(r"(.)\1{4}|example|placeholder|changeme|redacted|12345678")),
+        yes(ends(bare(F.col("after")), HARMLESS)), yes(ends(bare(F.col("after")), KEYS)),
+        yes(F.col("word").rlike("[\"']")), yes(low.rlike(r"(.)\1{4}|example|placeholder|changeme|redacted|12345678")),
     ]
     return rows.withColumn("features", array_to_vector(F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in cols])))
 
@@ -158,13 +205,15 @@ def labelled_findings(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         .when(kind == 10, finding(other, F.concat(key, F.lit(":"), other), plain, plain))
         .otherwise(finding(F.md5(h), F.concat(F.lit("md5:"), F.md5(h)), pick(("md5", "digest", "hash"), r), plain))
     )
-    rows = spark.range(n).select("id", (i % 2 == 0).cast("double").alias("label"), F.when(i % 2 == 0, secret).otherwise(harmless).alias("c"))
-    return rows.select("label", "c.*", F.lit("").alias("after"))
+    rows = spark.range(n).withColumns({"label": (i % 2 == 0).cast("double"), "c": F.when(i % 2 == 0, secret).otherwise(harmless)})
+    # a harmless string is named on either side, a secret is mostly followed by prose
+    after = F.when((i % 2 == 1) & (r % 3 == 0), other).when(r % 2 == 0, plain).when(r % 11 == 0, key).otherwise("")
+    return rows.select("label", "c.*", after.alias("after"))
 
 
-def train(findings: DataFrame) -> RandomForestClassificationModel:
+def train(findings: DataFrame, known: DataFrame, likely: list[float]) -> RandomForestClassificationModel:
     """A forest from labelled findings (value, word, before, before2, after, label)."""
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=8, labelCol="label", featuresCol="features").fit(features(findings))
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=8, labelCol="label", featuresCol="features").fit(features(covered(findings, known), likely))
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, least: float = 0.5) -> DataFrame:
@@ -172,10 +221,13 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, least: float = 0.5)
 
     Null and empty texts have no candidates. Repeated rows give repeated
     candidates; rows with a null doc_id are scanned too. Other columns are
-    ignored. An empty table gives an empty table.
+    ignored. An empty table gives an empty table. Words are counted over all
+    texts; of the counts only those of pairs of letters reach the driver.
     """
-    model = train(labelled_findings(docs.sparkSession) if findings is None else findings)
-    scored = model.transform(features(candidates(docs)))
+    known = cut_lineage(vocabulary(docs))
+    likely = transitions(known)
+    model = train(labelled_findings(docs.sparkSession) if findings is None else findings, known, likely)
+    scored = model.transform(features(covered(cut_lineage(candidates(docs)), known), likely))
     score = vector_to_array("probability")[1]
     return scored.select("doc_id", "th", "pos", "part", "value", score.alias("score"), (score >= least).alias("secret"))
 
