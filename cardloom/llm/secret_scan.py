@@ -25,7 +25,7 @@ LEAST_CHARS = 12
 EXAMPLES = 4000  # labelled findings to learn from
 TREES, DEPTH = 24, 8
 LETTERS = 26
-SALTS = 16  # a value that many documents hold is joined in so many parts
+SALTS = 16  # parts in which a word of many values, or a value of many rows, is joined
 
 #: Words that stand before secrets, and before harmless strings of the same looks.
 KEYS = ("token", "password", "passwd", "pwd", "secret", "api_key", "apikey", "api-key", "key", "auth", "authorization", "bearer", "credential", "private")
@@ -113,13 +113,15 @@ def transitions(known: DataFrame) -> list[float]:
 def covered(rows: DataFrame, known: DataFrame) -> DataFrame:
     """rows with coverage: the share of value in runs of letters that are known words.
 
-    Each distinct value is looked up once; the answers are dealt over SALTS parts,
-    so that a value of very many rows is no hot key.
+    Each distinct value is looked up once. Words and answers are dealt over SALTS
+    parts, so that neither a word of very many values nor a value of very many
+    rows is a hot key.
     """
     runs = F.split(F.lower(F.regexp_replace("value", r"(\p{Ll})(\p{Lu})", "$1 $2")), r"[^\p{L}]+")
-    parts = rows.select("value").distinct().select("value", F.explode(F.filter(runs, lambda r: F.length(r) > 2)).alias("run"))
-    found = parts.join(known, "run").groupBy("value").agg((F.sum(F.length("run")) / F.greatest(F.length("value"), F.lit(1))).alias("coverage"))
-    dealt = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    parts = rows.select("value").distinct().select("value", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int").alias("salt"), F.explode(F.filter(runs, lambda r: F.length(r) > 2)).alias("run"))
+    found = parts.join(known.select("run", every), ["run", "salt"]).groupBy("value").agg((F.sum(F.length("run")) / F.greatest(F.length("value"), F.lit(1))).alias("coverage"))
+    dealt = found.select("*", every)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(*[c for c in ("doc_id", "th", "pos", "word") if c in rows.columns]), F.lit(SALTS)).cast("int"))
     return salted.join(dealt, ["value", "salt"], "left").drop("salt").withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))
 
