@@ -302,8 +302,9 @@ def joined_leftovers(members: DataFrame, joined: DataFrame, sigs: DataFrame, doc
         pairs = each.select("id", F.explode("others").alias("other"))
         pairs = cut_lineage(pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
         n = pairs.count()
-        near = cut_lineage(gathered(alike(gathered(pairs, n), sigs, size), n))
-        more = cut_lineage(gathered(confirmed(near, sets, percent), n))
+        # not gathered: few pairs would bring the signatures or sets of all to few tasks
+        near = cut_lineage(alike(gathered(pairs, n), sigs, size))
+        more = cut_lineage(confirmed(near, sets, percent))
         if not more.isEmpty():
             joined = cut_lineage(components(more.union(joined.select(F.col("component").alias("a"), F.col("id").alias("b")))))
         done = some.select("token", F.explode("cs.id").alias("id"))
