@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or where that is unset the warehouse."""
+    conf = spark.sparkContext.getConf()
+    return spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written as compressed Parquet to the shared folder and read from there; for rows of many bytes."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def gathered(df: DataFrame, rows: int, each: int = 30_000) -> DataFrame:
     """df, of at most `rows` rows, in no more partitions than they fill; many near-empty ones only cost files."""
     return df.coalesce(max(1, -(-rows // each)))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import decontam, fingerprint, langid, linededup, neardup, packing, pii, quality, secret_scan, toxicity
+from cardloom.llm import alignment, decontam, fingerprint, langid, linededup, mixing, neardup, packing, pii, quality, secret_scan, toxicity
 from cardloom.llm.common import table
 
-TOKENIZER = "word_bpe_49k.json"  # a public tokenizer's name; each worker looks up its path
+# names of public tokenizers; each worker looks up their paths
+TOKENIZER = "word_bpe_49k.json"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +56,17 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+def op12_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    out = mixing.pack_mixture(table(spark, sf_dir, "documents"), BYTES)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 OP6_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
@@ -90,5 +103,5 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = compon
 FROM documents d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_language, op4_personal_data, op5_pack_sequences, op6_benchmark_decontamination, op7_line_dedup, op8_secrets, op9_toxicity, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_language, op4_personal_data, op5_pack_sequences, op6_benchmark_decontamination, op7_line_dedup, op8_secrets, op9_toxicity, op10_near_duplicates, op11_token_alignment, op12_mixture_packing)}
 ORACLES = {"op6_benchmark_decontamination": OP6_SQL, "op7_line_dedup": OP7_SQL, "op10_near_duplicates": OP10_SQL}
