@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import alignment, decontam, fingerprint, langid, linededup, mixing, neardup, packing, pii, quality, secret_scan, toxicity
+from cardloom.llm import alignment, decontam, fingerprint, langid, linededup, mixing, neardup, packing, phrases, pii, quality, secret_scan, toxicity
 from cardloom.llm.common import table
 
 # names of public tokenizers; each worker looks up their paths
@@ -67,6 +67,10 @@ def op12_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
@@ -103,5 +107,19 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = compon
 FROM documents d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_language, op4_personal_data, op5_pack_sequences, op6_benchmark_decontamination, op7_line_dedup, op8_secrets, op9_toxicity, op10_near_duplicates, op11_token_alignment, op12_mixture_packing)}
-ORACLES = {"op6_benchmark_decontamination": OP6_SQL, "op7_line_dedup": OP7_SQL, "op10_near_duplicates": OP10_SQL}
+OP13_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS g, count(*) AS f FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k)) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, g, k, f, string_split(g, ' ') AS w FROM g WHERE f >= 30),
+c AS (SELECT lang, g, f, array_to_string(w[:c], ' ') AS x, array_to_string(w[c + 1:], ' ') AS y, c FROM (SELECT *, unnest(range(1, k)) AS c FROM f WHERE k > 1)),
+s AS (SELECT c.lang, c.g, c.f AS a, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * c.f // (x.f::HUGEINT + y.f) AS BIGINT) AS score, c FROM c JOIN f x ON x.lang = c.lang AND x.g = c.x JOIN f y ON y.lang = c.lang AND y.g = c.y),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+i AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS g, max(f) AS held FROM (SELECT lang, w, f, k, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM f WHERE k > 2)) GROUP BY ALL),
+o AS (SELECT b.lang, b.g AS phrase, a, l, r, n, score FROM b JOIN n ON n.lang = b.lang LEFT JOIN i ON i.lang = b.lang AND i.g = b.g WHERE held IS NULL OR 100::HUGEINT * held < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o QUALIFY rank <= 2000
+"""
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_language, op4_personal_data, op5_pack_sequences, op6_benchmark_decontamination, op7_line_dedup, op8_secrets, op9_toxicity, op10_near_duplicates, op11_token_alignment, op12_mixture_packing, op13_collocations)}
+ORACLES = {"op6_benchmark_decontamination": OP6_SQL, "op7_line_dedup": OP7_SQL, "op10_near_duplicates": OP10_SQL, "op13_collocations": OP13_SQL}
