@@ -38,15 +38,17 @@ def folders(spark, tmp_path_factory):
     return base
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op13_collocations"}))  # its rows are phrases, see test_tokens
 def test_query_gives_a_row_for_each_row(spark, folders, name):
     got = QUERIES[name](spark, str(folders / "full")).collect()
     if name == "op5_pack_sequences":
         got = [r for r in got if r["piece"] == 0]
+    if name == "op12_mixture_packing":
+        got = [r for r in got if r["start"] == 0]
     want = sorted(str(r[0]) for r in rows())
     assert sorted(str(r["doc_id"]) for r in got) == want
     by = [r for r in got if r["doc_id"] == 3]
-    same = [{k: v for k, v in r.asDict().items() if k not in ("sequence_id", "offset", "near_next", "near_edited", "edited_sha256", "edited_fingerprint")} for r in by]
+    same = [{k: v for k, v in r.asDict().items() if k not in ("sequence_id", "offset", "near_next", "near_edited", "edited_sha256", "edited_fingerprint") and not (name.startswith("op12") and k in ("length", "ids_crc32"))} for r in by]
     assert len(same) == 2 and same[0] == same[1]
     assert QUERIES[name](spark, str(folders / "none")).collect() == []
 
