@@ -45,31 +45,40 @@ class Rounds:
         self.totals, self.weights, self.capacity, self.grain = totals, weights, capacity, grain
         self.scale, self.all = sum(weights), sum(totals)
         self.full = self.all - self.all % capacity
-        self.at = lru_cache(maxsize=4096)(self._at)
+        self.at = lru_cache(maxsize=65_536)(self._at)
+        self.sends = lru_cache(maxsize=4096)(self._sends)
 
     def sent(self, source: int, round_: int) -> int:
         """Tokens that a source has sent by the end of a round: whole packets, or all it has."""
         earned = round_ * self.capacity * self.weights[source] // self.scale
         return self.totals[source] if earned >= self.totals[source] else earned - earned % self.grain
 
+    def sent_by(self, round_: int) -> list[int]:
+        """sent() of all sources."""
+        grain, scale, budget = self.grain, self.scale, round_ * self.capacity
+        return [t if (e := budget * w // scale) >= t else e - e % grain for t, w in zip(self.totals, self.weights, strict=True)]
+
     def _at(self, round_: int) -> list[int]:
         """The stream place at which each source's packets of a round begin; sources send one after the other."""
-        before = [self.sent(s, round_ - 1) for s in range(len(self.totals))]
+        before, after = self.sent_by(round_ - 1), self.sent_by(round_)
         place, out = sum(before), []
-        for s, b in enumerate(before):
+        for b, a in zip(before, after, strict=True):
             out.append(place)
-            place += self.sent(s, round_) - b
+            place += a - b
         return out
 
+    def _sends(self, source: int, round_: int) -> tuple[int, int, int]:
+        """What a source has sent before and by the end of a round, and the stream place of its packets there."""
+        return self.sent(source, round_ - 1), self.sent(source, round_), self.at(round_)[source]
+
     def runs(self, source: int, first: int, last: int):
         """(queue place, length, stream place) of the tokens first..last of a queue, where the stream breaks them."""
         held = None
         while first < last:
             end = min(first - first % self.grain + self.grain, self.totals[source])
-            round_ = -(-end * self.scale // (self.capacity * self.weights[source]))
-            begun = self.sent(source, round_ - 1)
-            size = min(last, self.sent(source, round_)) - first
-            place = self.at(round_)[source] + first - begun
+            begun, sent, place = self.sends(source, -(-end * self.scale // (self.capacity * self.weights[source])))
+            size = min(last, sent) - first
+            place += first - begun
             if held and held[2] + held[1] == place:
                 held = (held[0], held[1] + size, held[2])
             else:
@@ -106,10 +115,9 @@ class Rounds:
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int, source: str) -> DataFrame:
     """Rows part, doc_id, queue, before (tokens of the queue earlier in the part), n, ids; written once."""
-    end = end_id.to_bytes(4, "little")
-
     def encode(batches):
         import os
+        from array import array
 
         import pyarrow as pa
         from pyspark import TaskContext
@@ -123,10 +131,11 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, source: str) -> Da
             for first, texts in text_slices(batch):
                 rows = []
                 for k, ids in enumerate(ids_of(texts), first):
-                    n = len(ids) // 4 + 1
+                    ids.append(end_id)
+                    n = len(ids)
                     before = seen.get(queues[k], 0)
                     seen[queues[k]] = before + n
-                    rows.append((part, own[k], queues[k], before, n, ids + end))
+                    rows.append((part, own[k], queues[k], before, n, array("I", ids).tobytes()))
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["part", "doc_id", "queue", "before", "n", "ids"])
 
