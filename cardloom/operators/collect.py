@@ -19,7 +19,7 @@ def request_plan(sources: DataFrame, state: DataFrame) -> DataFrame:
     return sources.join(s, sources["url"] == s["source_url"], "left").select(*sources.columns, headers.alias("headers"))
 
 
-def classify_responses(responses: DataFrame, sources: DataFrame) -> DataFrame:
+def classify_responses(responses: DataFrame, sources: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
     """Every source with its responses, and the first outcome that fits.
 
     Outcomes: unsupported_url, fetch_error (also for a source without a
@@ -28,7 +28,9 @@ def classify_responses(responses: DataFrame, sources: DataFrame) -> DataFrame:
     redirect is the finer reason of an untrusted effective URL.
 
     Responses are judged before they meet the sources, and only fetched ones keep
-    their content; URLs are tested once for each source.
+    their content; URLs are tested once for each source. Up to broadcast_rows
+    sources are sent to the responses, whose bodies stay where they are; sources
+    without a response are found by their URLs alone.
     """
     reason = redirect_reason(F.col("source_url"), F.coalesce("effective_url", "source_url"))
     body = F.lower(F.decode("content", "ISO-8859-1"))
@@ -43,7 +45,10 @@ def classify_responses(responses: DataFrame, sources: DataFrame) -> DataFrame:
     judged = responses.withColumn("redirect", reason).withColumn("outcome", outcome)
     judged = judged.withColumn("content", F.when(F.col("outcome") == "fetched", F.coalesce("content", F.lit(b""))))
     known = sources.withColumn("__public", is_public_url(F.col("url")))
-    r = known.join(judged, known["url"] == judged["source_url"], "left")
+    few = sources.limit(broadcast_rows + 1).count() <= broadcast_rows
+    answered = judged.join(F.broadcast(known) if few else known, known["url"] == judged["source_url"])
+    silent = known.join(responses.select(F.col("source_url").alias("url")).distinct(), "url", "left_anti")
+    r = answered.unionByName(silent, allowMissingColumns=True).select(*known.columns, *judged.columns)
     final = F.when(~F.col("__public"), "unsupported_url").otherwise(F.coalesce("outcome", F.lit("fetch_error")))
     r = r.withColumns({"outcome": final, "source_url": F.col("url")})
     return r.withColumn("content", F.when(F.col("outcome") == "fetched", F.col("content"))).drop("__public")
@@ -104,7 +109,9 @@ def new_snapshots(responses: DataFrame, store: DataFrame) -> DataFrame:
     """raw_sha256, content of bodies that parsed and are not in the store; only hashes are compared, bodies follow."""
     hashed = responses.where("outcome = 'fetched'").withColumn("raw_sha256", F.sha2("content", 256))
     new = hashed.select("raw_sha256").distinct().join(store.select("raw_sha256"), "raw_sha256", "left_anti")
-    return hashed.join(new, "raw_sha256", "left_semi").groupBy("raw_sha256").agg(F.first("content").alias("content"))
+    # any row's body will do: the least source and address, found without the bodies
+    chosen = hashed.groupBy("raw_sha256").agg(F.min(F.struct("source_ord", "source_url")).alias("c")).join(new, "raw_sha256").select("raw_sha256", "c.*")
+    return hashed.join(chosen, ["raw_sha256", "source_ord", "source_url"], "left_semi").select("raw_sha256", "content").dropDuplicates(["raw_sha256"])
 
 
 def fetched_state(responses: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,10 +27,14 @@ def fold_health(previous: DataFrame, failures: DataFrame, now: str) -> DataFrame
 
 
 def health_report(state: DataFrame, previous: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
-    """Rows source_url, status (unhealthy, degraded or recovered), consecutive_failures, by URL."""
+    """Rows source_url, status (unhealthy, degraded or recovered), consecutive_failures, source_name, first_failed_at, last_reason, by URL.
+
+    A recovered source keeps the name, time and reason of the streak that ended.
+    """
     least = max(1, threshold)
-    now = state.select("source_url", F.when(F.col("consecutive_failures") >= least, "unhealthy").otherwise("degraded").alias("status"), "consecutive_failures")
-    gone = previous.join(state, "source_url", "left_anti").select("source_url", F.lit("recovered").alias("status"), F.lit(0).alias("consecutive_failures"))
+    rest = ("source_name", "first_failed_at", "last_reason")
+    now = state.select("source_url", F.when(F.col("consecutive_failures") >= least, "unhealthy").otherwise("degraded").alias("status"), "consecutive_failures", *rest)
+    gone = previous.join(state, "source_url", "left_anti").select("source_url", F.lit("recovered").alias("status"), F.lit(0).alias("consecutive_failures"), *rest)
     return now.unionByName(gone).orderBy("source_url")
 
 
@@ -42,6 +46,48 @@ def health_counts(report: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> Data
     )
 
 
+#: Streak summaries folded at once; three levels hold 10^8 runs of a source.
+FANOUT = 512
+
+
+def streak(run, failed_at, last) -> Column:
+    """The summary of one failing run. Summaries of later and earlier runs merge, in order, to that of all.
+
+    first, last: the first and last failing run; prefix, suffix: how many failing runs
+    begin and end it without a gap; since: when the suffix began; row: what the last run tells.
+    """
+    one = F.lit(1).cast("long")
+    return F.struct(run.alias("first"), run.alias("last"), one.alias("prefix"), one.alias("suffix"), failed_at.alias("since"), last.alias("row"))
+
+
+def merged(a: Column, b: Column) -> Column:
+    """The summary of both, all of a's runs being before b's."""
+    touch = b["first"] == a["last"] + 1
+    whole = lambda s: s["suffix"] == s["last"] - s["first"] + 1
+    longer = touch & whole(b)
+    return F.struct(
+        a["first"].alias("first"), b["last"].alias("last"), F.when(touch & whole(a), a["prefix"] + b["prefix"]).otherwise(a["prefix"]).alias("prefix"),
+        F.when(longer, a["suffix"] + b["suffix"]).otherwise(b["suffix"]).alias("suffix"), F.when(longer, a["since"]).otherwise(b["since"]).alias("since"), b["row"].alias("row"),
+    )
+
+
+def folded_streaks(rows: DataFrame, last_run: int) -> DataFrame:
+    """Rows source_url, s: one summary a source, from a row for each failing run (source_url, k, s).
+
+    Runs are folded by ranges of FANOUT, these by ranges again, and so on, so that no step holds
+    more of a source's history than FANOUT summaries.
+    """
+    span = 1
+    while True:
+        span *= FANOUT
+        ranges = F.expr(f"k div {span}")
+        own = rows.groupBy("source_url", ranges.alias("k_")).agg(F.array_sort(F.collect_list("s")).alias("a"))
+        fold = F.aggregate(F.expr("slice(a, 2, greatest(size(a) - 1, 0))"), F.get("a", 0), merged)
+        rows = own.select("source_url", (F.col("k_") * span).alias("k"), fold.alias("s"))
+        if span > last_run:
+            return rows.select("source_url", "s")
+
+
 def health_streaks(outcomes: DataFrame, runs: DataFrame) -> DataFrame:
     """The state after the last run, from a history.
 
@@ -51,14 +97,9 @@ def health_streaks(outcomes: DataFrame, runs: DataFrame) -> DataFrame:
     the last run before it without a failure.
     """
     one = outcomes.where("failed").groupBy("source_url", "run_no").agg(F.max_by(F.struct("source_name", "failed_at", "reason"), "ord").alias("f"))
-    ranked = runs.select("run_no").distinct()
     # runs are few beside outcomes: one number for each, by a window over them alone
-    numbered = ranked.select("run_no", F.row_number().over(Window.orderBy("run_no")).alias("k"))
-    last = numbered.agg(F.max("k").alias("last"))
-    rows = one.join(numbered, "run_no")
-    island = F.col("k") - F.row_number().over(Window.partitionBy("source_url").orderBy("k"))
-    streaks = rows.withColumn("island", island).groupBy("source_url", "island").agg(
-        F.max("k").alias("end"), F.count("*").alias("n"), F.min_by("f.failed_at", "k").alias("first_failed_at"), F.max_by("f", "k").alias("f")
-    )
-    alive = streaks.join(F.broadcast(last), streaks["end"] == last["last"])
-    return alive.select("source_url", F.col("f.source_name").alias("source_name"), F.col("n").cast("int").alias("consecutive_failures"), "first_failed_at", F.col("f.reason").alias("last_reason"))
+    numbered = runs.select("run_no").distinct().select("run_no", F.row_number().over(Window.orderBy("run_no")).cast("long").alias("k"))
+    last = numbered.agg(F.max("k")).first()[0] or 0
+    rows = one.join(numbered, "run_no").select("source_url", "k", streak(F.col("k"), F.col("f.failed_at"), F.col("f")).alias("s"))
+    alive = folded_streaks(rows, last).where(F.col("s.last") == last)
+    return alive.select("source_url", F.col("s.row.source_name").alias("source_name"), F.col("s.suffix").cast("int").alias("consecutive_failures"), F.col("s.since").alias("first_failed_at"), F.col("s.row.reason").alias("last_reason"))

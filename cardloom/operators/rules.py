@@ -92,35 +92,71 @@ def dictionary_frame(spark, dictionary: Mapping[str, tuple[str, ...]]) -> DataFr
     return spark.createDataFrame([(slug, " ".join(p.lower().split())) for slug, phrases in dictionary.items() for p in phrases], "slug string, gram string")
 
 
-def match_dictionary(texts: DataFrame, dictionary: DataFrame, words: int = 4, broadcast_rows: int = 100_000) -> DataFrame:
-    """Rows id, slug for dictionaries too large for one regex a slug.
-
-    texts: id, text. Words are runs of word characters and hyphens; the 1- to
-    `words`-word grams whose words only white space parts meet the dictionary in
-    an equi-join. The dictionary is broadcast only up to broadcast_rows rows;
-    grams are made distinct by text before they are shuffled. Null texts match
-    nothing.
+def folded(text: Column) -> Column:
+    """Lower case, each run of white space one blank."""
+    return F.regexp_replace(F.lower(text), r"(?U)\s+", " ")
+
+
+def match_dictionary(texts: DataFrame, dictionary: DataFrame, max_phrases: int = 200_000) -> DataFrame:
+    """Rows id, slug for dictionaries too large for one regex a slug; phrases of any length and any words.
+
+    texts: id, text; dictionary: slug, gram. A phrase matches as phrase_regex would.
+    Up to max_phrases phrases are one automaton that every worker builds and that reads each text once, without a shuffle.
+    Beyond that, each phrase meets the texts that hold its rarest word, and is looked for there. Null
+    texts and empty phrases match nothing.
     """
-    # each run of text between white space: its words, and whether they touch its ends
-    runs = F.split(F.lower("text"), r"(?U)\s+")
-    parts = F.transform(runs, lambda r: F.struct(F.regexp_extract_all(r, F.lit(r"(?U)([\w-]+)"), F.lit(1)).alias("w"), r.rlike(r"(?U)\A[\w-]").alias("left"), r.rlike(r"(?U)[\w-]\z").alias("right")))
-    p = texts.where("text is not null").select("id", parts.alias("p"))
-    at = F.sequence(F.lit(0), F.size("p") - 1)
-    inner = F.flatten(F.transform("p", lambda x: x["w"]))
-    get = lambda i: F.get("p", i)
-
-    def of_length(n):
-        return F.array_compact(F.transform(at, lambda i: gram(i, n)))
-
-    def gram(i, n):
-        ends = [F.try_element_at(get(i)["w"], F.lit(-1)), *[F.get(get(i + k)["w"], 0) for k in range(1, n)]]
-        whole = get(i)["right"]
-        for k in range(1, n):
-            whole = whole & get(i + k)["left"]
-            if k < n - 1:
-                whole = whole & get(i + k)["right"] & (F.size(get(i + k)["w"]) == 1)
-        return F.when(whole, F.concat_ws(" ", *ends))
-
-    grams = F.array_distinct(F.flatten(F.array(inner, *map(of_length, range(2, words + 1)))))
-    small = dictionary.count() <= broadcast_rows
-    return p.select("id", F.explode(grams).alias("gram")).join(F.broadcast(dictionary) if small else dictionary, "gram").select("id", "slug").distinct()
+    d = dictionary.select("slug", F.trim(folded(F.col("gram"))).alias("gram")).where(F.length("gram") > 0).distinct()
+    t = texts.where("text is not null").select("id", folded(F.col("text")).alias("text"))
+    if d.limit(max_phrases + 1).count() <= max_phrases:
+        return _by_automaton(t, d)
+    words = F.regexp_extract_all("gram", F.lit(r"(?U)([\w-]+)"), F.lit(1))
+    d = d.withColumn("words", words)
+    return _by_rarest_word(t, d.where(F.size("words") > 0)).union(_by_automaton(t, d.where(F.size("words") == 0).drop("words")))
+
+
+def _by_automaton(t: DataFrame, d: DataFrame) -> DataFrame:
+    spark = t.sparkSession
+    slugs: dict[str, list[str]] = {}
+    for slug, gram in sorted(tuple(r) for r in d.select("slug", "gram").collect()):
+        slugs.setdefault(gram, []).append(slug)
+    sent = spark.sparkContext.broadcast(slugs)
+
+    def match(batches):
+        import re
+
+        import ahocorasick
+        import pyarrow as pa
+
+        # what (?U)\\w is elsewhere, and the hyphen
+        part = re.compile(r"[\w\-\u0300-\u036f\u200c\u200d]")
+        finder = ahocorasick.Automaton()
+        for gram in sent.value:
+            finder.add_word(gram, gram)
+        finder.make_automaton()
+        for batch in batches:
+            ids, texts = batch.column("id"), batch.column("text").to_pylist()
+            at, found = [], []
+            for k, text in enumerate(texts):
+                own = set()
+                for end, gram in finder.iter(text) if sent.value else ():
+                    begin = end - len(gram)
+                    inside = (begin >= 0 and part.match(text[begin])) or (end + 1 < len(text) and part.match(text[end + 1]))
+                    if not inside:
+                        own.update(sent.value[gram])
+                at += [k] * len(own)
+                found += sorted(own)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(found, pa.string())], ["id", "slug"])
+
+    return t.mapInArrow(match, f"id {t.schema['id'].dataType.simpleString()}, slug string")
+
+
+def _by_rarest_word(t: DataFrame, d: DataFrame) -> DataFrame:
+    """d: slug, gram, words. Rarest is the word that the fewest phrases hold; its texts are few, and only they are looked at."""
+    each = d.select("slug", "gram", F.explode(F.array_distinct("words")).alias("word"))
+    held = each.groupBy("word").agg(F.count("*").alias("n"))
+    keyed = each.join(held, "word").groupBy("slug", "gram").agg(F.min_by("word", F.struct("n", "word")).alias("word"))
+    tokens = t.select("id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?U)([\w-]+)"), F.lit(1)))).alias("word"))
+    pairs = tokens.join(keyed, "word").select("id", "slug", "gram").distinct()
+    looked = pairs.join(t, "id").where(F.contains("text", "gram"))
+    whole = F.concat(F.lit(r"(?U)(?<![\w-])\Q"), F.col("gram"), F.lit(r"\E(?![\w-])"))
+    return looked.where(F.regexp_like("text", whole)).select("id", "slug").distinct()

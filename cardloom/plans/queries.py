@@ -322,6 +322,30 @@ def dictionary_matches(spark, sf_dir):
     return c.join(found, "id", "left").select(F.col("id").alias("doc_id"), F.coalesce("t", F.lit("")).alias("techniques"))
 
 
+_RUNS = "string_split_regex(lower(text), '\\s+')"
+_W = "[\\p{L}\\p{N}\\p{M}_-]+"
+# phrases of 1 to 8 words between white space, every fourth place; what a text holds is read from its own runs
+_PHRASES = f"""WITH t AS (SELECT doc_id, {_RUNS} AS r FROM documents),
+p AS (SELECT DISTINCT array_to_string(r[i : i + doc_id % 8], ' ') AS g FROM (SELECT doc_id, r, unnest(range(1, len(r) + 1, 4)) AS i FROM t) WHERE i + doc_id % 8 <= len(r) AND len(list_filter(r[i : i + doc_id % 8], lambda x: NOT regexp_full_match(x, '{_W}'))) = 0),
+one AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(array_to_string(r, ' '), '{_W}')) AS g FROM t),
+n AS (SELECT DISTINCT doc_id, regexp_extract(r[i], '{_W}$') || ' ' || array_to_string(r[i + 1 : i + k - 2] || [regexp_extract(r[i + k - 1], '^{_W}')], ' ') AS g FROM (SELECT doc_id, r, k, unnest(range(1, len(r) - k + 2)) AS i FROM t, (SELECT unnest(range(2, 9)) AS k))
+  WHERE regexp_matches(r[i], '{_W}$') AND regexp_matches(r[i + k - 1], '^{_W}') AND len(list_filter(r[i + 1 : i + k - 2], lambda x: NOT regexp_full_match(x, '{_W}'))) = 0)
+SELECT doc_id, count(*) AS n_phrases, min(g) AS first_phrase, max(g) AS last_phrase FROM (SELECT * FROM one UNION SELECT * FROM n) JOIN p USING (g) GROUP BY doc_id"""
+
+
+@query(_PHRASES)
+def dictionary_of_phrases(spark, sf_dir):
+    """A dictionary of phrases of 1 to 8 words from all documents, matched in all of them."""
+    d = _read(spark, sf_dir, "documents")
+    r, k = F.split(F.lower("text"), r"(?U)\s+"), (F.col("doc_id") % 8 + 1).cast("int")
+    starts = F.sequence(F.lit(1), F.greatest(F.size(r), F.lit(1)), F.lit(4))
+    spans = F.transform(starts, lambda i: F.slice(r, i, k))
+    whole = F.filter(spans, lambda s: (F.size(s) == k) & F.forall(s, lambda x: x.rlike(r"(?U)\A[\w-]+\z")))
+    phrases = d.select(F.explode(F.transform(whole, lambda s: F.array_join(s, " "))).alias("gram")).distinct()
+    found = rules.match_dictionary(d.select(F.col("doc_id").alias("id"), "text"), phrases.select(F.col("gram").alias("slug"), "gram"))
+    return found.groupBy(F.col("id").alias("doc_id")).agg(F.count("*").alias("n_phrases"), F.min("slug").alias("first_phrase"), F.max("slug").alias("last_phrase"))
+
+
 # ---- validation
 
 _DEFECTS = {0: ("missing_required", "$.summary"), 1: ("string_too_long", "$.title"), 2: ("invalid_url_scheme", "$.source_url"), 3: ("url_credentials", "$.source_url"), 4: ("invalid_timestamp", "$.published_at"), 5: ("invalid_sha256", "$.content_sha256"), 6: ("invalid_id", "$.id"), 7: ("list_too_long", "$.products"), 8: ("invalid_cve", "$.cves[0]"), 9: ("invalid_enum", "$.confidence")}
@@ -538,7 +562,7 @@ def health_fold(spark, sf_dir):
 @query(_STREAKS + " SELECT source_url, CASE WHEN n >= 3 THEN 'unhealthy' ELSE 'degraded' END AS status, n AS consecutive_failures FROM l UNION ALL SELECT source_url, 'recovered', 0 FROM p WHERE source_url NOT IN (SELECT source_url FROM l)")
 def health_report(spark, sf_dir):
     before, after = _last_run(spark, sf_dir)
-    return health.health_report(after, before)
+    return health.health_report(after, before).select("source_url", "status", "consecutive_failures")
 
 
 @query(_STREAKS + " SELECT CAST(3 AS INTEGER) AS threshold, (SELECT count(*) FROM l) AS total_failing, (SELECT count(*) FROM l WHERE n >= 3) AS unhealthy, (SELECT count(*) FROM l WHERE n < 3) AS degraded, (SELECT count(*) FROM p WHERE source_url NOT IN (SELECT source_url FROM l)) AS recovered")

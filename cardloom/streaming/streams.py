@@ -2,58 +2,98 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from cardloom import schemas
-from cardloom.operators.collect import build_cards, classify_responses, entries_of_batch, failures, new_cards, parse_responses
+from cardloom.operators.store import Store, collect_batch
 
 
-def stream_collect(spark: SparkSession, in_dir: str, sources: DataFrame, store: str, checkpoint: str, failed: str | None = None):
-    """Starts a query that turns new response files into cards in the Parquet store.
+def stream_collect(spark: SparkSession, in_dir: str, sources: DataFrame, store: str, checkpoint: str, files_a_batch: int = 100):
+    """Starts a query that collects new response files into the store, a whole run for each micro-batch.
 
-    Each batch is compared with the whole store, so the first version of a card
-    wins at any distance, and a batch that is replayed adds nothing. Bodies that
-    are no feeds give no cards; with `failed`, a batch's failures replace those in
-    its own folder below it, so that a replay does not repeat them.
+    A batch's number is its number in the store's ledger, so a batch that is
+    killed and replayed appears once. Each is compared with the store's
+    buckets that may hold its ids, so the first version of a card wins at any distance.
+    Sources that have no response in a batch are not judged by it.
     """
-    from cardloom.sources.readers import _read_or_empty
+    own = Store(spark, store)
 
     def add(batch: DataFrame, number: int) -> None:
-        # sources that have no response in this batch are not judged by it
-        asked = sources.join(batch.select(F.col("source_url").alias("url")), "url", "left_semi").select(*sources.columns)
-        got = parse_responses(classify_responses(batch, asked))
-        if failed:
-            failures(got).write.mode("overwrite").parquet(f"{failed}/batch={number}")
-        cards = build_cards(entries_of_batch(got))
-        known = _read_or_empty(spark, store, schemas.CARD)
-        new_cards(cards, known).select(*schemas.names(schemas.CARD)).write.mode("append").parquet(store)
-
-    responses = spark.readStream.schema(schemas.RESPONSES).parquet(in_dir)
+        asked = sources.join(batch.select(F.col("source_url").alias("url")).distinct(), "url", "left_semi").select(*sources.columns)
+        collect_batch(own, number, batch, asked)
+
+    responses = spark.readStream.schema(schemas.RESPONSES).option("maxFilesPerTrigger", files_a_batch).parquet(in_dir)
     return responses.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class Streaks(StatefulProcessor):
+    """A source's streak: its length, first failure, name, and the last run it was seen in.
+
+    A failure sets a timer at its run's time, which fires once the watermark, that is
+    a later run, has passed it. A source that had no row in that run has recovered; one that
+    failed again has moved its timer.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.streak = handle.getValueState("streak", "n int, first string, name string, run long, at long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        n, first, name, seen, at = self.streak.get() if self.streak.exists() else (0, None, None, None, None)
+        timer, last = at if n else None, None
+        # several failures of one run count once, the last by ord
+        for r in sorted(rows, key=lambda r: (r["run_no"], r["ord"])):
+            if seen is not None and (r["run_no"] < seen or (r["run_no"] == seen and not r["failed"])):
+                continue
+            again = r["run_no"] == seen and n > 0
+            if r["failed"] and not again:
+                # runs are numbered without gaps, so a gap is a run without a failure
+                n, first = (n + 1, first) if n and r["run_no"] == seen + 1 else (1, r["failed_at"])
+            elif not r["failed"]:
+                n, first = 0, None
+            name, seen, at, last = r["source_name"], r["run_no"], int(r["run_at"].timestamp() * 1000), r
+        if last is None:
+            return
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        if n:
+            self.handle.registerTimer(at)
+        self.streak.update((n, first, name, seen, at))
+        yield Row(source_url=key[0], source_name=name, consecutive_failures=n, first_failed_at=first, last_reason=last["reason"] if n else None, run_no=seen)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        n, _, name, seen, at = self.streak.get()
+        if n and at == expiredTimerInfo.getExpiryTimeInMs():
+            self.streak.update((0, None, name, seen + 1, at))
+            yield Row(source_url=key[0], source_name=name, consecutive_failures=0, first_failed_at=None, last_reason=None, run_no=seen + 1)
+
+    def close(self) -> None:
+        pass
+
+
 def stream_health(outcomes: DataFrame) -> DataFrame:
-    """Streaks over a stream of source_url, source_name, run_no, failed, failed_at, reason.
+    """Streaks over a stream of source_url, source_name, run_no, run_at, failed, failed_at, reason, ord.
 
-    A healthy run needs a row of its own, since a stream can't show absence. Each
-    batch gives the sources' states after it; a streak of 0 means recovered.
+    run_no counts runs without gaps; run_at is the run's time, the same in all its rows, and runs are
+    more than a second apart. A run's rows come no later than in the micro-batch of the next run. A source without a row in a run did not fail
+    there; each run has a row of some source. Gives a source's state (with run_no, the run it
+    holds after) whenever it changes; a streak of 0 means recovered. The latest run_no of a source counts.
+    The session's state store provider must be RocksDB's.
     """
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupState
-
-    state = "n int, first string, run long"
-
-    def fold(key, frames, group: GroupState):
-        n, first, seen = group.get if group.exists else (0, None, -1)
-        rows = pd.concat(list(frames))
-        rows = rows[rows["run_no"] > seen].sort_values("run_no").drop_duplicates("run_no", keep="last")
-        name = reason = None
-        for r in rows.itertuples():
-            n, first = (n + 1, first if n else r.failed_at) if r.failed else (0, None)
-            name, reason, seen = r.source_name, r.reason if r.failed else None, r.run_no
-        group.update((n, first, int(seen)))
-        if len(rows):
-            yield pd.DataFrame({"source_url": [key[0]], "source_name": [name], "consecutive_failures": [n], "first_failed_at": [first], "last_reason": [reason]})
-
-    return outcomes.groupBy("source_url").applyInPandasWithState(fold, schemas.HEALTH, state, "update", "NoTimeout")
+    spark = outcomes.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB:
+        raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {ROCKSDB}")
+    rows = outcomes.withWatermark("run_at", "1 second").groupBy("source_url")
+    return rows.transformWithState(Streaks(), f"{schemas.HEALTH}, run_no long", "Update", "eventTime")
+
+
+def health_after(states: DataFrame) -> DataFrame:
+    """The failing sources after all that stream_health has given so far."""
+    cols = [c for c in schemas.names(schemas.HEALTH) if c != "source_url"]
+    last = states.groupBy("source_url").agg(F.max_by(F.struct(*cols), F.struct("run_no", F.col("consecutive_failures") == 0)).alias("s"))
+    return last.select("source_url", "s.*").where("consecutive_failures > 0")

@@ -171,33 +171,6 @@ def test_sources_and_tolerant_readers(spark, tmp_path):
     assert readers.read_failures(spark, str(p)).count() == 1
 
 
-def test_streamed_cards_equal_batch(spark, tmp_path):
-    from cardloom.streaming.streams import stream_collect
-
-    sources = spark.createDataFrame([(0, "n", "https://f.example.org/", 9)], schemas.SOURCES)
-    response = spark.createDataFrame([(1, "https://f.example.org/", None, 200, {}, RSS, None, "2024-05-07T00:00:00Z")], schemas.RESPONSES)
-    store = str(tmp_path / "store")
-    for n in range(2):
-        response.write.mode("append").parquet(str(tmp_path / "in"))
-        stream_collect(spark, str(tmp_path / "in"), sources, store, str(tmp_path / "cp"), str(tmp_path / "failed")).awaitTermination()
-        assert spark.read.parquet(store).count() == 2, n
-    broken = spark.createDataFrame([(2, "https://f.example.org/", None, 200, {}, b"<html/>", None, "2024-05-08T00:00:00Z")], schemas.RESPONSES)
-    broken.write.mode("append").parquet(str(tmp_path / "in"))
-    stream_collect(spark, str(tmp_path / "in"), sources, store, str(tmp_path / "cp"), str(tmp_path / "failed")).awaitTermination()
-    assert spark.read.parquet(store).count() == 2 and [r["reason"] for r in spark.read.parquet(str(tmp_path / "failed")).collect()] == ["unsupported_feed"]
-
-
-def test_streamed_health(spark, tmp_path):
-    from cardloom.streaming.streams import stream_health
-
-    rows = [("u", "n", 1, True, "t1", "a"), ("u", "n", 2, True, "t2", "b"), ("v", "n", 1, True, "t1", "a"), ("v", "n", 2, False, None, None)]
-    kind = "source_url string, source_name string, run_no long, failed boolean, failed_at string, reason string"
-    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "in"))
-    q = stream_health(spark.readStream.schema(kind).parquet(str(tmp_path / "in"))).writeStream.outputMode("update").format("memory").queryName("streaks").trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert sorted((r[0], r[2], r[3]) for r in spark.table("streaks").collect()) == [("u", 2, "t1"), ("v", 0, None)]
-
-
 def test_feed_queries_parse_every_entry_whole(spark, tmp_path):
     from cardloom.plans.queries import QUERIES
 
