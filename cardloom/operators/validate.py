@@ -9,6 +9,7 @@ from cardloom import schemas
 from cardloom.functions.text import fingerprint
 from cardloom.functions.times import is_timestamp
 from cardloom.functions.urls import url_issues
+from cardloom.sources.commits import shared_folder
 from cardloom.sources.readers import classify_lines
 
 # Patterns of ids, secrets, placeholders and injected prompts.
@@ -139,12 +140,8 @@ def _list_issues(path: str, limit: int, order: int, cve: bool) -> list[Column]:
     return out
 
 
-def card_issues(raw: DataFrame) -> DataFrame:
-    """Issues of single cards: rows line_no, check_ord, item_ord, code, location.
-
-    raw: line_no, v. Only lines that are JSON objects are looked at. Each check
-    gives an array; they are joined and exploded once, so a clean card makes no row.
-    """
+def field_checks() -> Column:
+    """The issues of an opened card's fields as one array; null for other lines."""
     checks: list[Column] = [_one(_type(f"$.{f}").isNull(), 0, "missing_required", "$." + f) for f in schemas.REQUIRED]
     for f, limit in schemas.STRING_LIMITS.items():
         path, text = f"$.{f}", _text(f"$.{f}")
@@ -161,9 +158,17 @@ def card_issues(raw: DataFrame) -> DataFrame:
         checks.append(_one(_type(f"$.{f}").isNotNull() & code.isNotNull(), 7, code, f"$.{f}"))
     checks += [_one(has_injection(_text(f"$.{f}")), 8, "prompt_injection_pattern", f"$.{f}") for f in ("title", "summary")]
     checks += _enrichment_issues()
-    found = F.when(F.col("x").isNotNull(), F.flatten(F.array_compact(F.array(*checks))))
+    return F.when(F.col("x").isNotNull(), F.flatten(F.array_compact(F.array(*checks))))
+
+
+def card_issues(raw: DataFrame) -> DataFrame:
+    """Issues of single cards: rows line_no, check_ord, item_ord, code, location.
+
+    raw: line_no, v. Only lines that are JSON objects are looked at. Each check
+    gives an array; they are joined and exploded once, so a clean card makes no row.
+    """
     # an outer explode: for a plain one the optimiser would compute all checks twice, once to filter
-    return opened(raw).select("line_no", F.explode_outer(found).alias("i")).where("i is not null").select("line_no", "i.*")
+    return opened(raw).select("line_no", F.explode_outer(field_checks()).alias("i")).where("i is not null").select("line_no", "i.*")
 
 
 def _enrichment_issues() -> list[Column]:
@@ -184,13 +189,43 @@ def _enrichment_issues() -> list[Column]:
     return out
 
 
-def walk_text(raw: DataFrame) -> DataFrame:
-    """Rows line_no, item_ord, location, text for every string at any depth.
+def _depth(json: Column) -> Column:
+    """How deep the brackets of a JSON text go."""
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(json, r"\\\\.", ""), '"[^"]*"', ""), r"[^\[\]{}]", "")
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc, c):
+        now = acc["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    return F.aggregate(F.split(bare, ""), zero, step)["most"]
 
-    Fields of the card format are read natively; only lines with other keys go
-    to a small helper, which walks those keys.
+
+def every_string(v: Column) -> Column:
+    """Array of (location, text) for each string of a variant, at any depth, in the order of its keys and items.
+
+    In each round all objects and arrays give way to what they hold; there are as many rounds as the value is deep.
+    """
+
+    def held(s):
+        at, kind = s["location"], F.schema_of_variant(s["v"])
+        pairs = F.map_entries(F.try_variant_get(s["v"], "$", "map<string,variant>"))
+        fields = F.transform(pairs, lambda e: F.struct(F.concat(at, F.lit("."), e["key"]).alias("location"), e["value"].alias("v")))
+        items = F.transform(F.try_variant_get(s["v"], "$", "array<variant>"), lambda x, i: F.struct(F.concat(at, F.lit("["), i.cast("string"), F.lit("]")).alias("location"), x.alias("v")))
+        return F.when(kind.startswith("OBJECT"), fields).when(kind.startswith("ARRAY"), items).otherwise(F.array(F.struct(at.alias("location"), s["v"].alias("v"))))
+
+    start = F.array(F.struct(F.lit("$").alias("location"), v.alias("v")))
+    depth = _depth(F.to_json(v))
+    leaves = F.aggregate(F.when(depth > 0, F.sequence(F.lit(1), depth)).otherwise(F.array().cast("array<int>")), start, lambda acc, _: F.flatten(F.transform(acc, held)))
+    strings = F.filter(leaves, lambda s: F.schema_of_variant(s["v"]) == "STRING")
+    return F.transform(strings, lambda s: F.struct(s["location"].alias("location"), F.try_variant_get(s["v"], "$", "string").alias("text")))
+
+
+def card_texts() -> Column:
+    """Array of (location, text) of an opened card's strings; null for other lines.
+
+    Cards with the format's keys and types are read by place; others are walked.
     """
-    known = (*schemas.REQUIRED, "enrichment")
     one = lambda path: F.array(F.struct(F.lit(path).alias("location"), _text(path).alias("text")))
 
     def many(path):
@@ -199,36 +234,25 @@ def walk_text(raw: DataFrame) -> DataFrame:
 
     fields = [one(f"$.{f}") for f in (*schemas.STRING_LIMITS, *schemas.ENUMS)] + [many(f"$.{f}") for f in schemas.LIST_LIMITS]
     fields += [one("$.enrichment.enriched_at")] + [many(f"$.enrichment.{f}") for f in schemas.LIST_LIMITS]
-    objects = opened(raw)
-    texts = F.when(F.col("x").isNotNull(), F.filter(F.flatten(F.array(*fields)), lambda s: s["text"].isNotNull()))
-    native = objects.select("line_no", F.posexplode_outer(texts).alias("item_ord", "s")).where("s is not null").select("line_no", "item_ord", "s.*")
-    extra = F.size(F.array_except(F.json_object_keys(F.to_json("v")), F.array(*map(F.lit, known)))) > 0
-    other = objects.select("line_no", F.when(F.col("x").isNotNull() & extra, F.to_json("v")).alias("line"))
-
-    def walk(batches):
-        import json
-
-        import pyarrow as pa
-
-        def strings(value, at):
-            if isinstance(value, str):
-                yield at, value
-            elif isinstance(value, list):
-                for i, x in enumerate(value):
-                    yield from strings(x, f"{at}[{i}]")
-            elif isinstance(value, dict):
-                for k, x in value.items():
-                    yield from strings(x, f"{at}.{k}")
-
-        for batch in batches:
-            rows = []
-            for n, line in zip(batch.column("line_no").to_pylist(), batch.column("line").to_pylist(), strict=True):
-                rest = {k: v for k, v in json.loads(line).items() if k not in known} if line else {}
-                rows += [(n, 1000 + i, at, t) for i, (at, t) in enumerate(strings(rest, "$"))]
-            cols = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.string(), pa.string()), strict=True)], ["line_no", "item_ord", "location", "text"])
-
-    return native.unionByName(other.mapInArrow(walk, "line_no long, item_ord int, location string, text string"))
+    texts = F.filter(F.flatten(F.array(*fields)), lambda s: s["text"].isNotNull())
+    keys = lambda path, known: F.size(F.array_except(F.json_object_keys(F.to_json(_at(path) if path else F.col("v"))), F.array(*map(F.lit, known)))) <= 0
+    flat = lambda path: ~F.coalesce(_type(path).startswith("OBJECT") | _type(path).startswith("ARRAY"), F.lit(False))
+    plain_list = lambda path: flat(path) | ~_type(path).rlike("OBJECT|ARRAY<(ARRAY|VARIANT)")
+    plain = keys("", (*schemas.REQUIRED, "enrichment"))
+    for f in (*schemas.STRING_LIMITS, *schemas.ENUMS):
+        plain = plain & flat(f"$.{f}")
+    e = "$.enrichment"
+    for path in [f"$.{f}" for f in schemas.LIST_LIMITS] + [f"{e}.{f}" for f in schemas.LIST_LIMITS]:
+        plain = plain & plain_list(path)
+    block = _type(e).isNull() | (_type(e) == "VOID") | (_type(e).startswith("OBJECT") & keys(e, ("version", "enriched_at", *schemas.LIST_LIMITS)))
+    plain = plain & block & flat(f"{e}.version") & flat(f"{e}.enriched_at")
+    return F.when(F.col("x").isNotNull(), F.when(F.coalesce(plain, F.lit(False)), texts).otherwise(every_string(F.col("v"))))
+
+
+def walk_text(raw: DataFrame) -> DataFrame:
+    """Rows line_no, item_ord, location, text for every string at any depth of a card."""
+    rows = opened(raw).select("line_no", F.posexplode_outer(card_texts()).alias("item_ord", "s"))
+    return rows.where("s is not null").select("line_no", "item_ord", "s.*")
 
 
 #: A text without any of these holds no secret; one cheap look for most texts.
@@ -241,15 +265,24 @@ def secret_issues(texts: DataFrame) -> DataFrame:
     return texts.select("line_no", F.lit(14).alias("check_ord"), "item_ord", F.explode_outer(codes).alias("code"), "location").where("code is not null")
 
 
+def _id_text() -> Column:
+    one = F.try_variant_get("v", "$.id", "variant")
+    is_text = F.schema_of_variant("v").startswith("OBJECT") & (F.schema_of_variant(one) == "STRING")
+    return F.when(is_text, F.try_variant_get("v", "$.id", "string"))
+
+
 def duplicate_issues(raw: DataFrame) -> DataFrame:
-    """duplicate_id for every later line of an id, and conflicting_id_content where it differs from the first.
+    """duplicate_id for every later line of an id, and conflicting_id_content where it differs from the first."""
+    return repeated_ids(raw.select("line_no", _id_text().alias("id"), fingerprint(F.col("v")).alias("fp")))
+
+
+def repeated_ids(lines: DataFrame) -> DataFrame:
+    """The same from rows line_no, id, fp; lines without a text id don't count.
 
     Only id, line number and digest are shuffled. The first line of each id is
     found by an aggregate, so that many lines of one id need no single task.
     """
-    one = F.try_variant_get("v", "$.id", "variant")
-    is_text = F.schema_of_variant("v").startswith("OBJECT") & (F.schema_of_variant(one) == "STRING")
-    rows = raw.where(is_text).select("line_no", F.try_variant_get("v", "$.id", "string").alias("id"), fingerprint(F.col("v")).alias("fp"))
+    rows = lines.where("id is not null").select("line_no", "id", "fp")
     first = rows.groupBy("id").agg(F.min("line_no").alias("first"), F.min_by("fp", "line_no").alias("first_fp"), F.count("*").alias("n")).where("n > 1")
     later = rows.join(first, "id").where("line_no > first")
     codes = F.array_compact(F.array(F.lit("duplicate_id"), F.when(F.col("fp") != F.col("first_fp"), "conflicting_id_content")))
@@ -267,14 +300,51 @@ def relocate(issues: DataFrame) -> DataFrame:
     return issues.withColumn("location", F.concat(F.lit("line "), F.col("line_no").cast("string"), F.expr("substring(location, 2)")))
 
 
+def judged_lines(raw: DataFrame) -> DataFrame:
+    """Rows line_no, kind, id, fp, source_name, issues: what one pass over the lines finds out about each.
+
+    issues holds those of the line, its fields and its secrets, as one array.
+    """
+    kind = F.when(F.col("kind") == "blank_line", "malformed_jsonl").otherwise(F.col("kind"))
+    line = F.when(F.col("kind") != "card", F.array(_issue(-1, kind, "$")))
+
+    def secrets(s, i):
+        codes = F.when(s["text"].rlike(_HINT), secret_codes(s["text"])).otherwise(F.array().cast("array<string>"))
+        return F.transform(codes, lambda c: _issue(14, c, s["location"], i))
+
+    found = F.flatten(F.transform(card_texts(), secrets))
+    issues = F.flatten(F.array_compact(F.array(line, field_checks(), found)))
+    return opened(classify_lines(raw)).select("line_no", "kind", _id_text().alias("id"), fingerprint(F.col("v")).alias("fp"), _text("$.source_name").alias("source_name"), issues.alias("issues"))
+
+
+def validate_file(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(issues, report) of cards read by read_cards_raw.
+
+    The lines are read and parsed once. What that finds, small beside the lines, is
+    written to the shared folder; counts are observed on the way. Only ids and digests are
+    shuffled, for duplicates, and the issues to put them in line and check order.
+    """
+    import uuid
+
+    from pyspark.sql import Observation
+
+    spark = raw.sparkSession
+    at = f"{shared_folder(spark)}/validated-{uuid.uuid4().hex}"
+    seen = Observation()
+    lines = judged_lines(raw).observe(seen, F.count_if(F.col("kind") == "card").alias("cards"), F.sum(F.size("issues")).alias("issues"))
+    lines.write.parquet(at)
+    lines = spark.read.schema(lines.schema).parquet(at)
+    again = repeated_ids(lines)
+    cols = ["line_no", "check_ord", "item_ord", "code", "location"]
+    own = lines.where(F.size("issues") > 0).select("line_no", F.explode("issues").alias("i")).select("line_no", "i.*").select(*cols)
+    issues = relocate(own.union(again.select(*cols))).orderBy("line_no", "check_ord", "item_ord", "code")
+    n = (seen.get["issues"] or 0) + again.count()
+    return issues, spark.createDataFrame([(seen.get["cards"], n, n == 0, int(n > 0))], "card_count long, issue_count long, ok boolean, exit_code int")
+
+
 def validate_cards(raw: DataFrame) -> DataFrame:
     """All issues of cards read by read_cards_raw, located by line, in line and check order."""
-    cols = ["line_no", "check_ord", "item_ord", "code", "location"]
-    found = [line_issues(raw), card_issues(raw), secret_issues(walk_text(raw)), duplicate_issues(raw)]
-    out = found[0].select(*cols)
-    for df in found[1:]:
-        out = out.union(df.select(*cols))
-    return relocate(out).orderBy("line_no", "check_ord", "item_ord", "code")
+    return validate_file(raw)[0]
 
 
 def report(issues: DataFrame, raw: DataFrame) -> DataFrame:

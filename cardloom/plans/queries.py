@@ -448,6 +448,18 @@ def issues_by_source(spark, sf_dir):
     return validate.issues_by_source(validate.card_issues(raw), raw)
 
 
+_TWICE = "SELECT unnest(['duplicate_id', 'conflicting_id_content']) AS code FROM (SELECT doc_id FROM documents WHERE doc_id % 11 = 6 QUALIFY row_number() OVER (ORDER BY doc_id) > 1)"
+
+
+@query(f"SELECT code, count(*) AS n, (SELECT count(*) FROM documents) AS card_count FROM (SELECT code FROM ({_ISSUES}) UNION ALL SELECT {_SECRET_CODE} FROM documents WHERE doc_id % 16 IN (5, 6, 7, 13) AND doc_id % 11 <> 0 UNION ALL {_TWICE}) GROUP BY 1")
+def validate_file(spark, sf_dir):
+    """Cards written as files of lines, read with their numbers, and judged in one pass."""
+    path = f"{release.shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    _defects(spark, sf_dir).select(F.col("line").alias("value")).write.text(path)
+    issues, report = validate.validate_file(readers.read_cards_raw(spark, path))
+    return validate.issues_by_code(issues).join(report.select("card_count"))  # one row
+
+
 @query(f"SELECT id, 'medium' AS confidence, 'public' AS safety, 0 AS n_tags, '2024-05-07T00:00:00Z' AS fetched_at FROM (SELECT 'card-' || substr(sha256('https://feeds.example.test/' || source || '/' || CAST(doc_id // 50 AS VARCHAR) || chr(10) || 'k' || CAST(doc_id AS VARCHAR)), 1, 12) AS id FROM documents WHERE doc_id % 2 = 0)")
 def card_defaults(spark, sf_dir):
     """What every new card starts with."""
@@ -516,11 +528,45 @@ def verify_release(spark, sf_dir):
     same = first.select("folder").union(again.select("folder")).distinct().count() == 1
     bad = release.verify_release(spark, path).select("name", F.lit("changed").alias("status"))
     names = spark.createDataFrame([(n,) for n in ("cards", "card_cves", "card_products", "postings", "compatibility", "schema_version")], "name string")
-    rows = names.join(bad, "name", "left").select("name", F.coalesce("status", F.lit("ok")).alias("status")).union(spark.createDataFrame([("unchanged", "ok" if same else "changed")], "name string, status string"))
+    rows = names.join(bad.distinct(), "name", "left").select("name", F.coalesce("status", F.lit("ok")).alias("status")).union(spark.createDataFrame([("unchanged", "ok" if same else "changed")], "name string, status string"))
     count = first.select(F.lit("cards").alias("name"), F.col("card_count").cast("long").alias("card_count"))
     return rows.join(count, "name", "left")
 
 
+# a card's row in a release, and the bucket of its digest
+_ROW = "to_json({'id': id, 'title': title, 'source_name': source_name})"
+_TREE = "SELECT substr(h, 1, 2) AS bucket, count(*) AS n, " + ", ".join(f"sum(CAST('0x' || substr(h, {1 + 16 * k}, 15) AS UBIGINT)::HUGEINT) AS h{k + 1}" for k in range(4)) + " FROM (SELECT sha256(" + _ROW + ") AS h FROM (@)) GROUP BY 1"
+_CHANGED = "SELECT id, CASE WHEN doc_id % 400 = 1 THEN title || '!' ELSE title END AS title, source_name FROM (" + C + ") WHERE doc_id % 500 <> 2"
+
+
+@query("WITH a AS (" + _TREE.replace("@", C) + "), b AS (" + _TREE.replace("@", _CHANGED) + ") SELECT bucket, coalesce(a.n, 0) AS expected, coalesce(b.n, 0) AS found FROM a FULL JOIN b USING (bucket) WHERE (a.n, a.h1, a.h2, a.h3, a.h4) IS DISTINCT FROM (b.n, b.h1, b.h2, b.h3, b.h4)")
+def changed_buckets(spark, sf_dir):
+    """The buckets in which a table differs from its digests: a title in 400 is changed, a row in 500 gone. The digests are merged from two parts."""
+    cols = ["id", "title", "source_name"]
+    c = lab(spark, sf_dir, "lab_cards")
+    parts = [release.digest_tree(c.where(F.col("doc_id") % 2 == k), cols) for k in (0, 1)]
+    k = F.col("doc_id")
+    now = c.where(k % 500 != 2).withColumn("title", F.when(k % 400 == 1, F.concat("title", F.lit("!"))).otherwise(F.col("title")))
+    return release.tree_changes(release.merged_trees(parts[0].union(parts[1])), release.digest_tree(now, cols))
+
+
+# the two most frequent words of titles, and one in every title
+_TOP = "SELECT t FROM (SELECT id, unnest(list_distinct(" + _TOKENS.format("title") + ")) AS t FROM (@)) GROUP BY t ORDER BY count(*) DESC, t LIMIT 2"
+_VALID = f"SELECT * FROM ({C}) WHERE doc_id % 16 NOT IN (5, 6, 7, 9, 11, 13) AND trim(title) <> ''"
+
+
+@query("WITH v AS (" + _VALID + "), top AS (" + _TOP.replace("@", "SELECT * FROM v") + ") SELECT id FROM v WHERE (SELECT count(*) FROM top WHERE list_contains(" + _TOKENS.format("v.title") + ", t)) = 2")
+def search_release(spark, sf_dir):
+    """Three terms, one of which every title holds, in the postings of a release: only the terms' buckets are read."""
+    cards = _cards(spark, sf_dir).where("doc_id % 16 not in (5, 6, 7, 9, 11, 13) and trim(title) <> ''").select(*schemas.names(schemas.CARD))
+    own = release.posting_stats(release.postings(cards).where("field = 'title'")).orderBy(F.desc("df"), "token").limit(2)
+    terms = [r["token"] for r in own.collect()]
+    cards = cards.withColumn("title", F.substring(F.concat(F.lit("Everywhere "), "title"), 1, 160))
+    path = f"{release.shared_folder(spark)}/postings-{uuid.uuid4().hex}"
+    release.write_postings(release.postings(cards), path)
+    return release.search(spark.read.schema(f"{release.POSTING}, bucket int").parquet(path), "title", [*terms, "everywhere"])
+
+
 # ---- health
 
 _H = f"WITH e AS ({E}), o AS (SELECT source_url, source_name, day, arg_max(event_type, event_id) = 'error' AS failed, arg_max(event_type, event_id) AS t FROM e GROUP BY 1, 2, 3), runs AS (SELECT day, row_number() OVER (ORDER BY day) AS k FROM (SELECT DISTINCT day FROM e))"

@@ -43,17 +43,21 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(path).select(F.regexp_extract("path", r"([^/]+)\.xml$", 1).alias("raw_sha256"), "content")
 
 
-def read_cards_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_cards_raw(spark: SparkSession, path: str, broadcast_blocks: int = 200_000) -> DataFrame:
     """Rows file, line_no, line, v of JSON-lines cards; v is null where a line is no JSON.
 
     Line numbers come from each block's place in its file: the order of a block's
-    rows is that of its scan ids, and the blocks before it give the offset.
+    rows is that of its scan ids, and the blocks before it give the offset. The
+    blocks are counted in the same query, since ids hold within one; up to broadcast_blocks of them are sent to the
+    lines, which then stay where they are read.
     """
     lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
     blocks = lines.groupBy("file", "block").agg(F.min("n").alias("first"), F.count("*").alias("size"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    joined = lines.join(blocks.select("file", "block", "first", "before"), ["file", "block"])
+    blocks = blocks.select("file", "block", "first", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    # a file gives one block more than the partitions that it fills, at most
+    few = len(lines.inputFiles()) + lines.rdd.getNumPartitions() <= broadcast_blocks
+    joined = lines.join(F.broadcast(blocks) if few else blocks, ["file", "block"])
     return joined.select("file", (F.col("before") + F.col("n") - F.col("first") + 1).alias("line_no"), "line", F.try_parse_json("line").alias("v"))
 
 

@@ -101,3 +101,168 @@ def test_streamed_streaks_see_absence_and_survive_a_restart(spark, tmp_path):
             assert sorted(map(tuple, got.collect())) == brute_streaks([r for r in rows if r[2] <= hi])
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+# ---- validation in one pass
+
+
+def brute_strings(value, at="$"):
+    if isinstance(value, str):
+        yield at, value
+    elif isinstance(value, list):
+        for i, x in enumerate(value):
+            yield from brute_strings(x, f"{at}[{i}]")
+    elif isinstance(value, dict):
+        for k in sorted(value):
+            yield from brute_strings(value[k], f"{at}.{k}")
+
+
+def test_strings_at_any_depth_natively(spark):
+    import json
+
+    from cardloom.operators import validate
+
+    rng = random.Random(2)
+
+    def value(depth):
+        kind = rng.randrange(6) if depth else rng.randrange(4)
+        if kind == 4:
+            return [value(depth - 1) for _ in range(rng.randrange(4))]
+        if kind == 5:
+            return {rng.choice(["a", "b c", "é", 'q"', "[x]", "title", "z.y"]): value(depth - 1) for _ in range(rng.randrange(4))}
+        return [None, 1.5, True, rng.choice(["", "text", "}{][", '\\" {', "a\nb", "😀"])][kind]
+
+    known = {"id": "i", "title": "t", "products": ["p"], "enrichment": {"version": 1, "cves": ["c"]}}
+    values = [{"x": value(5), "title": value(2)} for _ in range(80)] + [known, known | {"deep": [[[[[[["s"]]]]]]]}, known | {"title": ["in", {"a": "list"}]}, known | {"enrichment": {"odd": {"a": ["b"]}}}, known | {"products": [["p"]]}, known | {"enrichment": ["e"]}, {}]
+    lines = [json.dumps(v) for v in values] + ["[1]", "no json", ""]
+    raw = spark.createDataFrame(list(enumerate(lines)), "line_no long, line string").withColumn("v", F.try_parse_json("line"))
+    got = validate.walk_text(raw)
+    assert "Python" not in plan(got) and "Arrow" not in plan(got)
+    found = {}
+    for r in got.orderBy("line_no", "item_ord").collect():
+        found.setdefault(r["line_no"], []).append((r["location"], r["text"]))
+    for i, v in enumerate(values):
+        assert sorted(found.get(i, [])) == sorted(brute_strings(v)), v
+        if "x" in v:
+            assert found.get(i, []) == list(brute_strings(v))
+    assert not {n for n in found if n >= len(values)}
+
+
+def test_validation_reads_lines_once(spark, tmp_path):
+    import json
+
+    from cardloom.operators import validate
+    from cardloom.sources import readers
+    from tests.test_cards import card
+
+    good = [card(id=f"card-{i:012x}") for i in range(3000)]
+    lines = [json.dumps(c) for c in good]
+    lines[5] = json.dumps(good[5] | {"title": ""})
+    lines[700] = json.dumps(good[1])
+    lines[1500] = json.dumps(good[2] | {"summary": "other"})
+    lines[2000] = json.dumps(good[2000] | {"note": {"deep": ["password = synthetic-value-0001"]}})
+    lines[2500], lines[2600], lines[2700] = "", "[1]", "{"
+    at = tmp_path / "cards"
+    at.mkdir()
+    (at / "a.jsonl").write_text("\n".join(lines) + "\n")
+    (at / "b.jsonl").write_text("\n".join(["{", json.dumps(good[7] | {"id": "card-ffffffffffff"})]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        raw = readers.read_cards_raw(spark, str(at))
+        for df in (raw, validate.judged_lines(raw)):
+            assert plan(df).count("FileScan text") == 2 and "BroadcastHashJoin" in plan(df) and "SortMergeJoin" not in plan(df) and "Python" not in plan(df)
+        both = raw.where("file like '%a.jsonl'").cache()
+        assert both.rdd.getNumPartitions() > 5
+        numbers = {r["line_no"]: r["line"] for r in both.collect()}
+        assert [numbers[i + 1] for i in range(len(lines))] == lines
+        issues, report = validate.validate_file(both)
+        got = [(r["line_no"], r["code"], r["location"]) for r in issues.collect()]
+        assert got == [
+            (6, "string_empty", "line 6.title"), (701, "duplicate_id", "line 701.id"), (1501, "duplicate_id", "line 1501.id"), (1501, "conflicting_id_content", "line 1501.id"),
+            (2001, "secret.assignment", "line 2001.note.deep[0]"), (2501, "malformed_jsonl", "line 2501"), (2601, "card_type", "line 2601"), (2701, "malformed_jsonl", "line 2701"),
+        ]
+        assert tuple(report.first()) == (len(lines) - 3, len(got), False, 1)
+        clean = raw.where("file like '%b.jsonl' and line_no = 2")
+        issues, report = validate.validate_file(clean)
+        assert issues.count() == 0 and tuple(report.first()) == (1, 0, True, 0)
+        issues, report = validate.validate_file(clean.limit(0))
+        assert issues.count() == 0 and tuple(report.first()) == (0, 0, True, 0)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+# ---- releases
+
+
+def cards_frame(spark, n=60):
+    from tests.test_cards import card, typed
+
+    return typed(spark, *[card(id=f"card-{i:012x}", title=f"Common number {i}" + (" Café rare" if i % 7 == 0 else ""), products=["php"] if i % 3 == 0 else []) for i in range(n)])
+
+
+def test_parallel_publishers_get_versions_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from cardloom.operators import release
+    from cardloom.sources import commits
+
+    path = str(tmp_path / "rel")
+    release.publish_release(cards_frame(spark, 2), path, "now")
+    with ThreadPoolExecutor(2) as pool:
+        got = list(pool.map(lambda n: release.publish_release(cards_frame(spark, n), path, "later").first(), (3, 4)))
+    assert sorted(m["version"] for m in got) == [2, 3] and {m["card_count"] for m in got} == {"3", "4"}
+    assert release.read_manifest(spark, path).first()["version"] == 3 and release.verify_release(spark, path).isEmpty()
+    # a publisher that died after its claim leaves a gap
+    assert commits.claim(spark, f"{path}/versions/4")
+    assert release.publish_release(cards_frame(spark, 5), path, "later").first()["version"] == 5
+
+
+def test_verify_names_the_bucket_that_differs(spark, tmp_path):
+    from cardloom.operators import release
+    from cardloom.sources import commits
+
+    path = str(tmp_path / "rel")
+    assert [tuple(r) for r in release.verify_release(spark, path).collect()] == [("manifest", None, "present", None)]
+    folder = release.publish_release(cards_frame(spark), path, "now").first()["folder"]
+    own = spark.read.parquet(f"{folder}/cards")
+    changed = own.withColumn("title", F.when(F.col("id").endswith("00a"), "other").otherwise(F.col("title")))
+    digest = lambda df: df.where("id like '%00a'").select(F.substring(release.row_digest(df.columns), 1, 2)).first()[0]
+    want = {digest(own), digest(changed)}
+    changed.write.parquet(f"{tmp_path}/changed")
+    commits.drop(spark, f"{folder}/cards")
+    spark.read.parquet(f"{tmp_path}/changed").write.parquet(f"{folder}/cards")
+    bad = release.verify_release(spark, path).collect()
+    assert {r["name"] for r in bad} == {"cards"} and {r["bucket"] for r in bad} == want
+    # tables that are not asked for are not opened
+    commits.drop(spark, f"{folder}/card_cves")
+    assert release.verify_release(spark, path, ("postings", "card_products")).isEmpty()
+    assert ("card_cves", None, "present", None) in [tuple(r) for r in release.verify_release(spark, path).collect()]
+    commits.drop(spark, f"{folder}/digests")
+    assert [r["name"] for r in release.verify_release(spark, path).collect()] == ["digests"]
+
+
+def test_digest_trees_merge_and_ignore_order(spark):
+    from cardloom.operators import release
+
+    df = spark.range(500).select(F.concat(F.lit("é"), F.col("id").cast("string")).alias("a"), F.lit(None).cast("string").alias("b"))
+    root = lambda t: release.tree_root(t).first()[0]
+    whole = root(release.digest_tree(df))
+    assert whole == root(release.digest_tree(df.repartition(7).orderBy(F.rand(1))))
+    parts = release.digest_tree(df.limit(100)).union(release.digest_tree(df.exceptAll(df.limit(100))))
+    assert whole == root(release.merged_trees(parts)) != root(release.digest_tree(df.union(df.limit(1))))
+
+
+def test_search_opens_its_buckets_only(spark, tmp_path):
+    from cardloom.operators import release
+
+    path = str(tmp_path / "rel")
+    folder = release.publish_release(cards_frame(spark), path, "now").first()["folder"]
+    for terms, want in ((["common", "cafe", "rare"], 9), (["common"], 60), (["common", "absent"], 0), ([], 0)):
+        got = release.search_release(spark, path, "title", terms)
+        assert got.count() == want and [r[0] for r in got.collect()] == sorted(r[0] for r in got.collect())
+    got = release.search_release(spark, path, "title", ["common", "rare"])
+    filters = plan(got).split("PartitionFilters: [")[1].split("]")[0]
+    assert "field" in filters and "bucket" in filters
+    post = spark.read.parquet(f"{folder}/postings")
+    assert post.where("token = 'common'").select(F.input_file_name()).distinct().count() >= 1
+    assert post.count() == release.postings(cards_frame(spark)).count()
