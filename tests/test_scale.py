@@ -266,3 +266,42 @@ def test_search_opens_its_buckets_only(spark, tmp_path):
     post = spark.read.parquet(f"{folder}/postings")
     assert post.where("token = 'common'").select(F.input_file_name()).distinct().count() >= 1
     assert post.count() == release.postings(cards_frame(spark)).count()
+
+
+# ---- addresses
+
+
+def test_addresses_natively(spark):
+    import ipaddress
+
+    from cardloom.functions import addresses
+
+    texts = ["", "1.2.3", "01.2.3.4", "1.2.3.4.5", "1:2:3:4:5:6:7::", "::1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8::", "1:2:3:4:5:6:1.2.3.4", "::1.2.3.4", "fe80::1%eth0", "::%", ":::", "1::2::3", ":1::", "g::"]
+    for block in addresses.SPECIAL_4 + addresses.SPECIAL_6:
+        net = ipaddress.ip_network(block)
+        kind, top = type(net[0]), 2 ** (32 if net.version == 4 else 128)
+        for x in (int(net[0]) - 1, int(net[0]), int(net[-1]), int(net[-1]) + 1):
+            if 0 <= x < top:
+                texts += [str(kind(x)), kind(x).exploded] + ([f"::ffff:{kind(x)}", f"64:ff9b::{kind(x)}"] if net.version == 4 else [])
+    rng = random.Random(3)
+    texts += ["".join(rng.choice(["0", "1", "ffff", "2001", "db8", "::", ":", ":", ".", "1.2.3.4", "255", "01", "abcde"]) for _ in range(rng.randrange(1, 16))) for _ in range(3000)]
+
+    def want(t):
+        try:
+            ip = ipaddress.ip_address(t)
+        except ValueError:
+            return None
+        return ip.is_global and not ip.is_multicast
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", addresses.is_global(F.col("t")).alias("g"))
+    assert "Python" not in plan(got)
+    assert [(r["t"], r["g"]) for r in got.collect()] == [(t, want(t)) for t in texts]
+
+
+def test_urls_are_cleaned_before_they_are_split(spark):
+    from cardloom.functions import urls
+
+    rows = [(" \x01https://a.example.org/x", True), ("htt\tps://a.exa\nmple.org/", True), ("https://a.example.org/\r", True), ("\t ", False), (" http://localhost/", False), ("http://10.0.\t0.1/", False)]
+    got = spark.createDataFrame(rows, "u string, want boolean").select("want", urls.is_public_url(F.col("u")).alias("got"), urls.safe_article_url(F.col("u"), F.lit("f")).alias("a"), "u")
+    for r in got.collect():
+        assert r["got"] == r["want"] and r["a"] == (r["u"] if r["want"] else "f")
