@@ -8,13 +8,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cardloom import schemas
 from cardloom.functions import text as tx
 from cardloom.functions import urls
 from cardloom.operators import collect, enrich, feeds, health, release, rules, validate
+from cardloom.operators.store import Store
 from cardloom.plans.lab import LAB, lab
 from cardloom.sources import readers
+from cardloom.streaming.streams import ROCKSDB, health_after, stream_collect, stream_health
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,6 +178,35 @@ def dedup_new_cards(spark, sf_dir):
     return collect.new_cards(parsed, store).select("id", "title", "summary")
 
 
+@query(f"SELECT id, title, summary FROM ({C}) WHERE doc_id % 3 <> 0")
+def store_new_cards(spark, sf_dir):
+    """The same against a stored third: only buckets whose filters may hold an id of the batch are read."""
+    parsed, old = _batch(spark, sf_dir)
+    store = Store(spark, f"{release.shared_folder(spark)}/store-{uuid.uuid4().hex}", buckets=16)
+    store.add_cards(0, old)
+    store.commit(0)
+    first = collect.first_of_batch(parsed)
+    store.add_cards(1, first.join(store.known(first.select("id")), "id", "left_anti"))
+    store.commit(1)
+    return store.table("cards").where("batch = 1").select("id", "title", "summary")
+
+
+_FEED = "SELECT DISTINCT source, doc_id // 50 AS part FROM documents WHERE doc_id % 2 = 0"
+
+
+@query(f"SELECT f.id, f.title, f.source_name, (SELECT count(*) FROM ({_FEED})) AS sources_fetched, (SELECT count(*) FROM ({_FEED})) AS snapshots FROM ({_feed_sql(0)}) f")
+def streamed_collecting(spark, sf_dir):
+    """Feeds as files of responses, collected by a stream of whole runs: the stored cards, sources with state and snapshots."""
+    at = f"{release.shared_folder(spark)}/collect-{uuid.uuid4().hex}"
+    feed = _feed_sources(spark, sf_dir, 0)
+    responses = feed.select(F.lit(1).cast("long").alias("run_id"), F.col("url").alias("source_url"), F.lit(None).cast("string").alias("effective_url"), F.lit(200).alias("status_code"), F.create_map(F.lit("ETag"), F.lit("e")).alias("headers"), "content", F.lit(None).cast("string").alias("error"), "fetched_at")
+    responses.repartition(4, "source_url").write.parquet(f"{at}/in")
+    stream_collect(spark, f"{at}/in", feed.select("source_ord", "name", "url", "max_entries"), f"{at}/store", f"{at}/checkpoint", files_a_batch=2).awaitTermination()
+    store = Store(spark, f"{at}/store")
+    n = lambda df, name: df.agg(F.count("*").alias(name))
+    return store.table("cards").select("id", "title", "source_name").join(n(store.state(), "sources_fetched")).join(n(store.table("snapshots").select("raw_sha256").distinct(), "snapshots"))  # one row each
+
+
 @query(f"SELECT id FROM ({C}) WHERE doc_id % 6 = 0")
 def changed_entries(spark, sf_dir):
     parsed, store = _batch(spark, sf_dir)
@@ -586,6 +618,27 @@ def health_streaks(spark, sf_dir):
     return health.health_streaks(*_outcomes(spark, sf_dir))
 
 
+@query(ORACLES["health_streaks"])
+def streamed_streaks(spark, sf_dir):
+    """The same from a stream of the runs' failures, where a source without a row in a run recovers."""
+    rows, runs = _outcomes(spark, sf_dir)
+    numbered = runs.select("run_no", F.row_number().over(Window.orderBy("run_no")).cast("long").alias("k"))
+    own = rows.join(numbered, "run_no").where("failed").select("source_url", "source_name", F.col("k").alias("run_no"), F.col("run_no").cast("timestamp").alias("run_at"), "failed", "failed_at", "reason", "ord")
+    # a row of no source for each run, in which all may be healthy
+    beat = numbered.select(F.lit("").alias("source_url"), F.lit("").alias("source_name"), F.col("k").alias("run_no"), F.col("run_no").cast("timestamp").alias("run_at"), F.lit(False).alias("failed"), F.lit(None).cast("string").alias("failed_at"), F.lit(None).cast("string").alias("reason"), F.lit(0).alias("ord"))
+    at = f"{release.shared_folder(spark)}/streaks-{uuid.uuid4().hex}"
+    own.unionByName(beat).repartition(2).write.parquet(f"{at}/in")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        states = stream_health(spark.readStream.schema(own.schema).parquet(f"{at}/in"))
+        out = states.writeStream.outputMode("update").foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{at}/out/batch={n}"))
+        out.option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return health_after(spark.read.parquet(f"{at}/out"))
+
+
 # streaks over all runs, and those alive at the last run or, the last run left out, at the one before
 _STREAKS = _H + """, f AS (SELECT source_url, k FROM o JOIN runs USING (day) WHERE failed), z AS (SELECT max(k) AS z FROM runs), g AS (SELECT *, k - row_number() OVER (PARTITION BY source_url ORDER BY k) AS i FROM f),
 s AS (SELECT source_url, max(k) AS e, count(*) AS n FROM g GROUP BY source_url, i), l AS (SELECT source_url, CAST(n AS INTEGER) AS n FROM s, z WHERE e = z), p AS (SELECT DISTINCT source_url FROM f, z WHERE k = z - 1)"""
