@@ -18,7 +18,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.bytebpe import chunks, is_tame
+from cardloom.llm.bytebpe import chunks, encoder, is_tame, merge_ranks
 from cardloom.llm.common import cut_lineage, text_slices, written
 from cardloom.llm.packing import byte_letters, tokenizer_path
 
@@ -35,6 +35,9 @@ class Aligner:
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        self.ids_a = encoder(path_a, special=False)
+        #: whether every text is its A tokens' bytes by the way the tokenizer is made
+        self.exact_a = merge_ranks(path_a) is not None
         self.b = SentencePieceProcessor(model_file=path_b)
         byte_of = {c: bytes([b]) for b, c in byte_letters().items()}
         special = {i: t.content.encode() for i, t in self.a.get_added_tokens_decoder().items()}
@@ -68,7 +71,7 @@ class Aligner:
     def align(self, text: str, a: list[int], b: list[int]):
         """(groups as text, number of groups, pair codes) or None where the tokens' bytes are not the text's."""
         raw = text.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+        if b"".join(map(self.bytes_b.__getitem__, b)) != raw or not (self.exact_a or b"".join(map(self.bytes_a.__getitem__, a)) == raw):
             return None
         size_a, size_b, n_b = self.size_a, self.size_b, self.n_ids_b
         groups, codes = [], []
@@ -96,7 +99,7 @@ class Aligner:
     def _learn(self, new: list[str]) -> None:
         import numpy as np
 
-        ids_a = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
+        ids_a = self.ids_a(new)
         codes = []
         for c, a, b in zip(new, ids_a, self._ids_b(new), strict=True):
             got = self.align(c, a, b)
@@ -132,7 +135,7 @@ class Aligner:
             if t == " ":
                 yield None
             elif own is None:
-                a, b = self.a.encode(t, add_special_tokens=False).ids, self.b.encode(t[1:])
+                a, b = self.ids_a([t])[0], self.b.encode(t[1:])
                 got = self.align(t, a, b)
                 yield got and (len(a), len(b), got[1], got[0], *np.unique(np.asarray(got[2], np.int64), return_counts=True))
             else:
