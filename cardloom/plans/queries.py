@@ -15,7 +15,7 @@ from cardloom.functions import text as tx
 from cardloom.functions import urls
 from cardloom.operators import collect, enrich, feeds, health, release, rules, validate
 from cardloom.operators.store import Store
-from cardloom.plans.lab import LAB, lab
+from cardloom.plans.lab import LAB, lab, spread
 from cardloom.sources import readers
 from cardloom.streaming.streams import ROCKSDB, health_after, stream_collect, stream_health
 
@@ -35,7 +35,7 @@ def query(sql: str | None = None):
 
 
 def _read(spark, sf_dir, name):
-    return readers.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _cards(spark, sf_dir) -> DataFrame:
@@ -276,18 +276,33 @@ def redirect_trust(spark, sf_dir):
 # ---- enrichment
 
 
-@query(f"SELECT doc_id, CASE WHEN doc_id % 16 = 0 THEN 'CVE-2021-44228,CVE-2024-53677' ELSE '' END AS cves FROM ({C})")
+# the tags of each card, found in its own text
+_HAY = "title || chr(10) || summary"
+_FOUND_CVES = "list_sort(list_distinct(list_filter(string_split_regex(upper(" + _HAY + "), '[^\\p{L}\\p{N}\\p{M}_-]+'), lambda x: regexp_full_match(x, 'CVE-[0-9]{4}-[0-9]{4,}'))))"
+_SLUG_OF = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in rules.TOPICS.items()) + "}"
+_FOUND_TOPICS = "list_filter(list_transform(string_split_regex(lower(regexp_extract(summary, '(?i)topics:\\s*(.*?)(?:\\s+rating:|$)', 1)), '[,\\s]+'), lambda x: " + _SLUG_OF + "[x]), lambda x: x IS NOT NULL)"
+
+
+def _found_slugs(dictionary) -> str:
+    """SQL for the list of slugs with a phrase in a card's text."""
+    parts = []
+    for slug in sorted(dictionary):
+        alt = "|".join(r"\s+".join(re.escape(w).replace("\\-", "-") for w in p.split()) for p in dictionary[slug])
+        parts.append(f"CASE WHEN regexp_matches({_HAY}, '(?i)(^|[^A-Za-z0-9_-])({alt})($|[^A-Za-z0-9_-])') THEN '{slug}' END")
+    return f"list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL)"
+
+
+_TAGGED = f"(SELECT *, {_FOUND_CVES} AS cves, {_found_slugs(rules.PRODUCTS)} AS products, list_sort(list_distinct({_found_slugs(rules.TECHNIQUES)} || {_FOUND_TOPICS})) AS techniques FROM ({C}))"
+
+
+@query(f"SELECT doc_id, array_to_string(cves, ',') AS cves FROM {_TAGGED}")
 def enrich_cves(spark, sf_dir):
     d = enrich.derive(_cards(spark, sf_dir))
     return d.select("doc_id", F.array_join("derived.cves", ",").alias("cves"))
 
 
 def _slug_sql(dictionary, column) -> str:
-    parts = []
-    for slug in sorted(dictionary):
-        alt = "|".join(r"\s+".join(re.escape(w).replace("\\-", "-") for w in p.split()) for p in dictionary[slug])
-        parts.append(f"CASE WHEN regexp_matches(title || chr(10) || summary, '(?i)(^|[^A-Za-z0-9_-])({alt})($|[^A-Za-z0-9_-])') THEN '{slug}' END")
-    return f"SELECT doc_id, array_to_string(list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL), ',') AS {column} FROM ({C})"
+    return f"SELECT doc_id, array_to_string({_found_slugs(dictionary)}, ',') AS {column} FROM ({C})"
 
 
 @query(_slug_sql(rules.TECHNIQUES, "techniques"))
@@ -302,15 +317,11 @@ def enrich_products(spark, sf_dir):
     return lab(spark, sf_dir, "lab_cards").select("doc_id", F.array_join(F.array_sort(rules.match_slugs(hay, rules.PRODUCTS)), ",").alias("products"))
 
 
-@query(f"SELECT doc_id, CASE WHEN doc_id % 16 = 4 THEN 'binary-exploitation,web' ELSE '' END AS topics FROM ({C})")
+@query(f"SELECT doc_id, array_to_string(list_sort(list_distinct({_FOUND_TOPICS})), ',') AS topics FROM ({C})")
 def enrich_topics(spark, sf_dir):
     return lab(spark, sf_dir, "lab_cards").select("doc_id", F.array_join(F.array_sort(rules.topic_slugs(F.col("summary"))), ",").alias("topics"))
 
 
-_DERIVED = {0: ("CVE-2021-44228,CVE-2024-53677", "", ""), 1: ("", "php,ruby-saml", "saml"), 3: ("", "", "sql-injection,xss"), 4: ("", "", "binary-exploitation,web"), 7: ("", "", "cookie-parsing"), 14: ("", "", "jwt,oauth,open-redirect")}
-_PRODUCTS = "CASE WHEN doc_id % 16 = 1 THEN 'php,ruby-saml' ELSE '' END"
-
-
 def _prior(spark, sf_dir) -> DataFrame:
     """Every fourth card has an enrichment that gave saml, the next a curated tag."""
     c = _cards(spark, sf_dir)
@@ -322,24 +333,23 @@ def _prior(spark, sf_dir) -> DataFrame:
     return c.withColumns({"techniques": tags, "products": products, "enrichment": F.when(k == 1, block)})
 
 
-_TECH = "CASE doc_id % 16 " + " ".join(f"WHEN {k} THEN '{v[2]}'" for k, v in _DERIVED.items() if v[2]) + " ELSE '' END"
+# saml is the prior block's tag of every fourth card, and php and ruby-saml of every sixteenth; the next has a curated tag
+_MERGED = f"""(SELECT *, list_sort(list_distinct(techniques || CASE WHEN doc_id % 4 = 2 THEN ['manual-insight'] ELSE [] END)) AS merged,
+ doc_id % 4 = 1 AND cves = [] AND products = (CASE WHEN doc_id % 16 = 1 THEN ['php', 'ruby-saml'] ELSE [] END) AND techniques = ['saml'] AS same FROM {_TAGGED})"""
 
 
-@query(f"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(string_split({_TECH}, ',') || CASE WHEN doc_id % 4 = 2 THEN ['manual-insight'] ELSE [] END, lambda x: x <> ''))), ',') AS techniques,
- {_PRODUCTS} AS products, doc_id % 16 <> 1 AS changed, CASE WHEN doc_id % 16 = 1 THEN '2024-01-01T00:00:00Z' ELSE '{NOW}' END AS enriched_at FROM ({C})""")
+@query(f"SELECT doc_id, array_to_string(merged, ',') AS techniques, array_to_string(products, ',') AS products, NOT same AS changed, CASE WHEN same THEN '2024-01-01T00:00:00Z' ELSE '{NOW}' END AS enriched_at FROM {_MERGED}")
 def enrich_merge(spark, sf_dir):
     e = enrich.enrich(_prior(spark, sf_dir), NOW)
     return e.select("doc_id", F.array_join("techniques", ",").alias("techniques"), F.array_join("products", ",").alias("products"), "changed", F.col("enrichment.enriched_at").alias("enriched_at"))
 
 
-@query("""SELECT count(*) AS cards_total, count(*) FILTER (doc_id % 16 <> 1) AS cards_changed, count(*) FILTER (doc_id % 16 = 1) AS cards_unchanged,
- CAST(2 * count(*) FILTER (doc_id % 16 = 0) AS BIGINT) AS cves_total, CAST(2 * count(*) FILTER (doc_id % 16 = 1) AS BIGINT) AS products_total,
- CAST(count(*) FILTER (doc_id % 16 = 1) + 2 * count(*) FILTER (doc_id % 16 IN (3, 4)) + count(*) FILTER (doc_id % 16 = 7) + 3 * count(*) FILTER (doc_id % 16 = 14) AS BIGINT) AS techniques_total FROM documents""")
+@query(f"SELECT count(*) AS cards_total, count(*) FILTER (NOT same) AS cards_changed, count(*) FILTER (same) AS cards_unchanged, CAST(sum(len(cves)) AS BIGINT) AS cves_total, CAST(sum(len(products)) AS BIGINT) AS products_total, CAST(sum(len(techniques)) AS BIGINT) AS techniques_total FROM {_MERGED}")
 def enrich_summary(spark, sf_dir):
     return enrich.enrich_summary(enrich.enrich(_prior(spark, sf_dir), NOW))
 
 
-@query("SELECT slug AS technique, count(*) AS cards FROM (SELECT unnest(CASE doc_id % 16 WHEN 1 THEN ['saml'] WHEN 3 THEN ['sql-injection', 'xss'] WHEN 4 THEN ['binary-exploitation', 'web'] WHEN 7 THEN ['cookie-parsing'] WHEN 14 THEN ['jwt', 'oauth', 'open-redirect'] ELSE [] END) AS slug FROM documents) GROUP BY 1")
+@query(f"SELECT slug AS technique, count(*) AS cards FROM (SELECT unnest(techniques) AS slug FROM {_TAGGED}) GROUP BY 1")
 def technique_counts(spark, sf_dir):
     """Cards by technique: ids, tags and a count; the flagship query."""
     d = enrich.derive(_cards(spark, sf_dir)).select(F.explode_outer("derived.techniques").alias("technique")).where("technique is not null")
@@ -435,13 +445,35 @@ def validate_duplicates(spark, sf_dir):
     return validate.duplicate_issues(_dups(spark, sf_dir)).select("line_no", "code")
 
 
-@query("SELECT doc_id AS line_no, CASE doc_id % 16 " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in _SECRET.items()) + " END AS code, '$.summary' AS location FROM documents WHERE doc_id % 16 IN (5, 6, 7, 13)")
+# values that follow a secret's sign, and the test of a value
+_VALUES = {
+    "secret.private_key": "list_transform(regexp_extract_all({t}, '(?s)-----BEGIN [A-Z ]*PRIVATE KEY-----\\s*(.*?)-----END [A-Z ]*PRIVATE KEY-----', 1), lambda v: regexp_replace(v, '\\s+', '', 'g'))",
+    "secret.bearer_token": "regexp_extract_all({t}, '(?i)\\bbearer\\s+([A-Za-z0-9._~+/=-]{8,})', 1)",
+    "secret.cookie": "list_transform(regexp_extract_all({t}, '(?i)\\b(?:cookie|set-cookie)\\s*:\\s*([^;\\n]+)', 1), lambda v: regexp_replace(v, '^[^=]*=', ''))",
+    "secret.assignment": "regexp_extract_all({t}, '(?i)\\b(?:password|passwd|pwd|api[_-]?key|secret|access[_-]?token|refresh[_-]?token|session[_-]?id)\\b\\s*[:=]\\s*[''\"]?([^\\s''\";,]+)', 1)",
+}
+_REAL = "length(v) >= {n} AND NOT contains(lower(v), 'redacted') AND NOT contains(lower(v), 'example.com') AND NOT regexp_full_match(v, '\\$?\\{{?[A-Z][A-Z0-9_]{{2,}}\\}}?') AND (length(v) >= 40 OR (regexp_matches(v, '[\\p{{L}}]') AND regexp_matches(v, '[0-9]')))"
+
+
+def _secrets_sql() -> str:
+    rows = []
+    for code, values in _VALUES.items():
+        for field in ("title", "summary"):
+            rows.append(f"SELECT doc_id, '{code}' AS code, '$.{field}' AS location, unnest(list_transform({values.replace('{t}', field)}, lambda v: trim(trim(v), chr(39) || chr(34)))) AS v FROM ({C})")
+    tests = " OR ".join(f"(code {'=' if k else '<>'} 'secret.private_key' AND {_REAL.format(n=n)})" for k, n in ((True, 40), (False, 12)))
+    return f"SELECT doc_id AS line_no, code, location FROM ({' UNION ALL '.join(rows)}) WHERE {tests}"
+
+
+@query(_secrets_sql())
 def card_secret_scan(spark, sf_dir):
     raw = _raw(_cards(spark, sf_dir).withColumn("line_no", F.col("doc_id")))
     return validate.secret_issues(validate.walk_text(raw)).select("line_no", "code", "location")
 
 
-@query("SELECT doc_id AS line_no, '$.summary' AS location FROM documents WHERE doc_id % 16 IN (9, 11)")
+_ASKS = [re.sub(r"^\(\?i(m?)d?U\)", r"(?i\1)", p).replace("'", "''") for p in validate.INJECTIONS]
+
+
+@query(" UNION ALL ".join(f"SELECT doc_id AS line_no, '$.{f}' AS location FROM ({C}) WHERE " + " OR ".join(f"regexp_matches({f}, '{p}')" for p in _ASKS) for f in ("title", "summary")))
 def injection_scan(spark, sf_dir):
     raw = _raw(_cards(spark, sf_dir).withColumn("line_no", F.col("doc_id")))
     return validate.card_issues(raw).where("code = 'prompt_injection_pattern'").select("line_no", "location")
@@ -506,17 +538,17 @@ def _enriched(spark, sf_dir):
     return enrich.enrich(_cards(spark, sf_dir), NOW)
 
 
-@query(f"SELECT id, title, source_name, CASE WHEN doc_id % 16 = 0 THEN '[\"CVE-2021-44228\",\"CVE-2024-53677\"]' ELSE '[]' END AS cves, CASE WHEN doc_id % 16 = 1 THEN '[\"php\",\"ruby-saml\"]' ELSE '[]' END AS products FROM ({C})")
+@query(f"SELECT id, title, source_name, CAST(to_json(cves) AS VARCHAR) AS cves, CAST(to_json(products) AS VARCHAR) AS products FROM {_TAGGED}")
 def release_cards(spark, sf_dir):
     return release.card_table(_enriched(spark, sf_dir)).select("id", "title", "source_name", "cves", "products")
 
 
-@query(f"SELECT id AS card_id, CAST(u.p AS INTEGER) AS position, u.v AS product FROM (SELECT id, unnest([{{'p': 0, 'v': 'php'}}, {{'p': 1, 'v': 'ruby-saml'}}]) AS u FROM ({C}) WHERE doc_id % 16 = 1)")
+@query(f"SELECT id AS card_id, CAST(p - 1 AS INTEGER) AS position, products[p] AS product FROM (SELECT *, unnest(range(1, len(products) + 1)) AS p FROM {_TAGGED})")
 def card_products(spark, sf_dir):
     return release.release_tables(_enriched(spark, sf_dir))["card_products"]
 
 
-@query(f"SELECT id AS card_id, CAST(u.p AS INTEGER) AS position, u.v AS cve FROM (SELECT id, unnest([{{'p': 0, 'v': 'CVE-2021-44228'}}, {{'p': 1, 'v': 'CVE-2024-53677'}}]) AS u FROM ({C}) WHERE doc_id % 16 = 0)")
+@query(f"SELECT id AS card_id, CAST(p - 1 AS INTEGER) AS position, cves[p] AS cve FROM (SELECT *, unnest(range(1, len(cves) + 1)) AS p FROM {_TAGGED})")
 def card_cves(spark, sf_dir):
     return release.release_tables(_enriched(spark, sf_dir))["card_cves"]
 
@@ -534,7 +566,7 @@ def search_terms(spark, sf_dir):
     return release.search(release.postings(_cards(spark, sf_dir)), "summary", ["redirect", "oauth"])
 
 
-@query(f"SELECT id, 'cve' AS by FROM ({C}) WHERE doc_id % 16 = 0 UNION ALL SELECT id, 'product' FROM ({C}) WHERE doc_id % 16 = 1 UNION ALL SELECT id, 'source' FROM ({C}) WHERE source_name = 'src3'")
+@query(f"SELECT id, 'cve' AS by FROM {_TAGGED} WHERE list_contains(cves, 'CVE-2021-44228') UNION ALL SELECT id, 'product' FROM {_TAGGED} WHERE list_contains(products, 'php') UNION ALL SELECT id, 'source' FROM ({C}) WHERE source_name = 'src3'")
 def applicability(spark, sf_dir):
     c = _enriched(spark, sf_dir)
     t = release.release_tables(c)

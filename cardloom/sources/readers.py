@@ -10,12 +10,6 @@ from pyspark.sql.window import Window
 from cardloom import schemas
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df, dealt over all cores where its files give fewer partitions (a small table in one file is one task)."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def read_sources(spark: SparkSession, path: str) -> DataFrame:
     """The allowlist, a JSON array in one file; max_entries is clamped to 1..50, and 50 where it is no integer.
 
