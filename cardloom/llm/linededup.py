@@ -3,11 +3,12 @@
 Batches of documents come in descending order of their ids. A run holds, sorted
 and bucketed by the hash of a line's key, the number of documents of a batch that
 have the line and the largest id among them. Each batch is merge-anti-joined with
-the lines that the runs have settled (seen in enough documents; their largest id
-is known, since later batches hold smaller ids) and adds a run of the rest. Once
-a level holds `fanout` runs, they are merged into one run of the next level. All
-runs are bucketed alike, so merging them and joining a batch to them needs no
-shuffle of the runs.
+each run's settled lines (those that the run has seen in enough documents; their
+largest id is known, since later batches hold smaller ids) and adds a run of the
+rest. Once a level holds `fanout` runs, they are merged into one run of the next
+level, by full outer merge joins of two. All runs are bucketed alike, so neither a
+batch's anti-joins nor a merge shuffles a run; only a batch's own counts are
+shuffled, once.
 
 A line's key is the line stripped of ASCII white space, A-Z lower-cased.
 """
@@ -60,42 +61,62 @@ class LineRuns:
         self.compactions = 0
 
     def _write(self, run: DataFrame, level: int) -> None:
+        # run is partitioned by h already: each bucket's rows lie in few tasks
         name = f"line_run_{uuid.uuid4().hex}"
-        run.repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").sortBy("h").saveAsTable(name)
+        run.write.bucketBy(self.buckets, "h").sortBy("h").saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
 
-    def _merged(self, names: list[str]) -> DataFrame:
-        runs = self.spark.table(names[0])
-        for name in names[1:]:
-            runs = runs.unionByName(self.spark.table(name))
-        return runs.groupBy("h").agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
+    def _names(self) -> list[str]:
+        return [n for level in self.levels for n in level]
+
+    def merged(self, one: str, two: str) -> DataFrame:
+        """The run of two runs' lines, joined bucket by bucket."""
+        other = self.spark.table(two).select("h", F.col("n_docs").alias("more"), F.col("max_doc").alias("top"))
+        both = self.spark.table(one).join(other.hint("merge"), "h", "full")
+        zero = F.lit(0).cast("long")
+        return both.select("h", (F.coalesce("n_docs", zero) + F.coalesce("more", zero)).alias("n_docs"), F.greatest("max_doc", "top").alias("max_doc"))
+
+    def _compact(self, names: list[str], level: int) -> None:
+        """Puts one run of `level` in place of the runs named, merging two at a time."""
+        while len(names) > 1:
+            one, two, *rest = names
+            self._write(self.merged(one, two), level)
+            self.levels = [[n for n in x if n not in (one, two)] for x in self.levels]
+            self._drop([one, two])
+            names = [self.levels[level][-1], *rest]
+        self.compactions += 1
 
     def seen(self) -> DataFrame:
-        """One row for each hash in any run."""
-        if not any(self.levels):
+        """One row for each hash in any run: the runs are merged into one, small ones first."""
+        names = self._names()
+        if not names:
             return self.spark.createDataFrame([], "h binary, n_docs long, max_doc long")
-        return self._merged([n for level in self.levels for n in level])
+        if len(names) > 1:
+            self._compact(names, len(self.levels) - 1)
+        return self.spark.table(self._names()[0])
 
     def frequent(self) -> DataFrame:
         """Rows h, max_doc of the lines in at least min_docs documents."""
         return self.seen().where(F.col("n_docs") >= self.min_docs).select("h", "max_doc")
 
     def unsettled(self, counts: DataFrame) -> DataFrame:
-        """A batch's counts without the lines that the runs have settled: the merge anti-join."""
-        return counts.join(self.frequent().select("h"), "h", "left_anti") if any(self.levels) else counts
+        """A batch's counts without the lines that a run has settled: a merge anti-join with each run."""
+        if counts.sparkSession.conf.get("spark.sql.shuffle.partitions") != str(self.buckets):
+            counts = counts.repartition(self.buckets, "h")  # else the counts' own shuffle has the buckets' number
+        for name in self._names():
+            settled = self.spark.table(name).where(F.col("n_docs") >= self.min_docs).select("h", F.lit(True).alias("settled"))
+            # an anti-join written as one would be moved below the counting, and shuffle a hot line's rows one by one
+            counts = counts.join(settled.hint("merge"), "h", "left").where("settled is null").drop("settled")
+        return counts
 
     def add(self, batch: DataFrame) -> None:
         """Adds the run of a batch (rows of long_lines), all of whose ids are below those before. Compacts full levels."""
         self._write(self.unsettled(line_counts(batch)), 0)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
-            full = self.levels[level]
-            self._write(self._merged(full), level + 1)
-            self.levels[level] = []
-            self._drop(full)
-            self.compactions += 1
+            self._compact(list(self.levels[level]), level + 1)
             level += 1
 
     def _drop(self, names: list[str]) -> None:
@@ -103,7 +124,7 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE IF EXISTS {name} PURGE")
 
     def close(self) -> None:
-        self._drop([n for level in self.levels for n in level])
+        self._drop(self._names())
         self.levels = []
 
 
