@@ -3,23 +3,28 @@
 A window is 13 consecutive words of a benchmark item (a shorter item is one
 window). A document holds a window only if it holds each of its 3-word
 shingles, so it is enough to look for the one that is rarest in the corpus: the
-window's prefix under the order by rarity. Where a document has that shingle,
-the window's place follows from the shingle's place in it; the length and
-position bounds drop places that stick out of the document, and the words at
-the place are compared with the window's.
+window's prefix under the order by rarity. A first pass over the documents
+counts the benchmark's shingles (partial sums, no places); a second joins the
+prefixes alone. Where a document has a prefix, the window's place follows from
+the shingle's place in it; the length and position bounds drop places that stick
+out of the document, and the words at the place are compared with the window's.
+Windows of equal words are one window; which items own it is looked up for
+windows that were found, apart from their places.
 
 Everything is DataFrame operations.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.llm.common import cut_lineage, lower_ascii
 
 WINDOW, SHINGLE = 13, 3
-BROADCAST_ROWS = 200_000  # most benchmark shingles (8 bytes each) to send to every executor
+BROADCAST_ROWS = 200_000  # most rows (of shingles, windows or places, each at most a window long) to send to every executor
 
 
 def words(text: Column) -> Column:
@@ -33,6 +38,15 @@ def shingle_hashes(w: Column, n: Column, k: int) -> Column:
     return F.transform(at, lambda i: F.xxhash64(F.lit(k), *[F.get(w, i + d) for d in range(k)]))
 
 
+def united(parts) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def sent(rows: DataFrame, n: int | None = None) -> DataFrame:
+    """rows, marked for broadcast where they (or the n rows they were made of) are few enough; else joins shuffle."""
+    return F.broadcast(rows) if (rows.count() if n is None else n) <= BROADCAST_ROWS else rows
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows item_id, s, w (the window's words); items without words have none."""
     items = benchmark.where("item_id is not null").select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0).distinct()
@@ -49,47 +63,48 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     item ids are left out; an empty benchmark contaminates nothing; an empty
     documents table gives an empty one. Columns of other names pass through.
     """
-    windows = cut_lineage(benchmark_windows(benchmark, window))
-    sizes = [r[0] for r in windows.select(F.least(F.size("w"), F.lit(shingle)).alias("k")).distinct().collect()]  # at most `shingle` values
+    none = F.lit(0).cast("long")
+    n_words = F.size(words(F.col("text"))).cast("long")
+    rows = cut_lineage(benchmark_windows(benchmark, window).select("item_id", F.unhex(F.md5(F.array_join("w", " ").cast("binary"))).alias("wid"), "w"))
+    owners = rows.select("wid", "item_id").distinct()
+    sizes = [r[0] for r in rows.select(F.least(F.size("w"), F.lit(shingle)).alias("k")).distinct().collect()]  # at most `shingle` values
+    if not sizes:
+        return docs.withColumns({"n_words": n_words, "n_hit": none, "n_items": none, "items_sha256": F.sha2(F.lit(""), 256), "contaminated": F.lit(False)})
+    single = rows.select("wid", "w").dropDuplicates(["wid"])
     plain = docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("w"))
 
-    found = None  # places of benchmark shingles in documents
-    parts = None  # the windows' shingles
-    for k in sorted(sizes):
-        own = windows.where(F.least(F.size("w"), F.lit(shingle)) == k).select("item_id", "s", "w", F.posexplode(shingle_hashes(F.col("w"), F.size("w"), k)).alias("p", "h"))
-        parts = own if parts is None else parts.unionByName(own)
-        tokens = cut_lineage(own.select("h").distinct())
-        if tokens.count() <= BROADCAST_ROWS:
-            tokens = F.broadcast(tokens)
-        places = plain.select("doc_id", "th", F.size("w").alias("n"), F.posexplode(shingle_hashes(F.col("w"), F.size("w"), k)).alias("at", "h")).join(tokens, "h")
-        found = places if found is None else found.unionByName(places)
-    n = F.size("w")
-    if found is None:
-        none = F.lit(0).cast("long")
-        return docs.withColumns({"n_words": F.size(words(F.col("text"))).cast("long"), "n_hit": none, "n_items": none, "items_sha256": F.sha2(F.lit(""), 256), "contaminated": F.lit(False)})
+    def hashes(k):
+        return shingle_hashes(F.col("w"), F.size("w"), k)
 
-    found = cut_lineage(found)
-    rarity = found.groupBy("h").agg(F.count("*").alias("df"))
+    parts = cut_lineage(united(single.where(F.least(F.size("w"), F.lit(shingle)) == k).select("wid", "w", F.lit(k).alias("k"), F.posexplode(hashes(k)).alias("p", "h")) for k in sizes))
+    tokens = sent(cut_lineage(parts.select("k", "h").distinct()))
+    rarity = united(plain.select(F.explode(hashes(k)).alias("h")).join(tokens.where(F.col("k") == k).select("h"), "h", "left_semi") for k in sizes).groupBy("h").agg(F.count("*").alias("df"))
     # a window with a shingle that no document has occurs nowhere
-    prefix = (
-        parts.join(rarity, "h", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-        .groupBy("item_id", "s", "w").agg(F.min(F.struct("df", "p", "h")).alias("least"))
-        .where("least.df > 0").select("item_id", "s", "w", F.col("least.p").alias("p"), F.col("least.h").alias("h"))
-    )
-    place = found.join(prefix, "h").withColumn("at", F.col("at") - F.col("p")).where((F.col("at") >= 0) & (F.col("at") + n <= F.col("n")))
-    # windows of one text at one place need one comparison; their items are gathered
-    grouped = place.groupBy("doc_id", "th", "at", "w").agg(F.collect_set("item_id").alias("items"))
-    per_doc = grouped.groupBy(F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).agg(F.collect_list(F.struct("at", "w", "items")).alias("__c"))
-
-    joined = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("__doc")) & F.xxhash64("text").eqNullSafe(F.col("__th")), "left").withColumn("__w", words(F.col("text")))
-    true = F.filter(F.coalesce(F.col("__c"), F.array()), lambda c: F.slice(F.col("__w"), c["at"] + 1, F.size(c["w"])) == c["w"])
-    joined = joined.withColumn("__true", true)
-    hit = F.array_distinct(F.flatten(F.transform("__true", lambda c: F.sequence(c["at"], c["at"] + F.size(c["w"]) - 1))))
-    items = F.array_distinct(F.flatten(F.transform("__true", lambda c: c["items"])))
-    out = joined.withColumns({
-        "n_words": F.size("__w").cast("long"),
-        "n_hit": F.size(hit).cast("long"),
-        "n_items": F.size(items).cast("long"),
-        "items_sha256": F.sha2(F.array_join(F.array_sort(F.transform(items, lambda i: i.cast("string"))), ","), 256),
+    rarest = parts.join(rarity, "h", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("df", none).alias("df"), "p", "h", "k", "w")).alias("least")).where("least.df > 0")
+    prefix = cut_lineage(rarest.select("wid", "least.p", "least.h", "least.k", "least.w"))
+    near = sent(prefix.select("wid", "p", "h", "k", F.size("w").alias("size")))
+    at = F.col("at") - F.col("p")
+    places = cut_lineage(united(
+        plain.select("doc_id", "th", F.size("w").alias("n"), F.posexplode(hashes(k)).alias("at", "h")).join(near.where(F.col("k") == k), "h")
+        .where((at >= 0) & (at + F.col("size") <= F.col("n"))).select("doc_id", "th", at.alias("at"), "wid")
+        for k in sizes
+    ))
+
+    # the words of documents that have places are compared there
+    of_doc = places.join(sent(prefix.select("wid", "w")), "wid").groupBy(F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).agg(F.collect_set(F.struct("at", "wid", "w")).alias("c"))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & F.xxhash64("text").eqNullSafe(F.col("__th"))
+    read = docs.select("doc_id", "text").join(sent(of_doc, places.count()), same).select("__doc", "__th", "c", words(F.col("text")).alias("w"))
+    read = read.select("__doc", "__th", F.filter("c", lambda c: F.slice(F.col("w"), c["at"] + 1, F.size(c["w"])) == c["w"]).alias("c")).where(F.size("c") > 0)
+    hit = F.size(F.array_distinct(F.flatten(F.transform("c", lambda c: F.sequence(c["at"], c["at"] + F.size(c["w"]) - 1)))))
+    held = read.select("__doc", "__th", hit.cast("long").alias("__hit"), F.explode(F.array_distinct(F.transform("c", lambda c: c["wid"]))).alias("wid"))
+    judged = held.join(sent(owners), "wid").groupBy("__doc", "__th", "__hit").agg(F.collect_set("item_id").alias("items"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    judged = cut_lineage(judged.select("__doc", "__th", "__hit", F.size("items").cast("long").alias("__n"), F.sha2(ids, 256).alias("__sha")))
+
+    out = docs.join(sent(judged), same, "left").withColumns({
+        "n_words": n_words,
+        "n_hit": F.coalesce("__hit", none),
+        "n_items": F.coalesce("__n", none),
+        "items_sha256": F.coalesce("__sha", F.sha2(F.lit(""), 256)),
     })
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).drop("__doc", "__th", "__c", "__w", "__true")
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).drop("__doc", "__th", "__hit", "__n", "__sha")

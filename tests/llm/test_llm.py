@@ -75,6 +75,22 @@ def test_line_runs_compact_and_anti_join(spark, monkeypatch):
     assert len(calls) == 4  # dedup_lines goes through the anti-join in each batch
 
 
+def test_line_runs_are_not_shuffled(spark):
+    runs = linededup.LineRuns(spark, buckets=4, fanout=9)  # as many as the session's shuffle partitions
+    for i in reversed(range(3)):
+        runs.add(linededup.long_lines(frame(spark, [sentence(random.Random(i), 4)]).withColumn("doc_id", F.lit(i).cast("long"))))
+    counts = linededup.line_counts(linededup.long_lines(frame(spark, [sentence(random.Random(9), 4)])))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    exchanges = lambda df: plan(df).count("Exchange hashpartitioning")
+    joined = runs.unsettled(counts)
+    # the three anti-joins add no exchange to those of the batch's own counts
+    assert plan(joined).count("SortMergeJoin") == 3 and "BroadcastHashJoin" not in plan(joined)
+    assert exchanges(joined) == exchanges(counts) == 2
+    merge = runs.merged(*runs.levels[0][:2])
+    assert "SortMergeJoin" in plan(merge) and exchanges(merge) == 0
+    runs.close()
+
+
 # ---- benchmark
 
 
@@ -93,7 +109,7 @@ def brute_hits(text, items):
     return len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
 
 
-def test_decontamination(spark):
+def test_decontamination(spark, monkeypatch):
     rng = random.Random(2)
     items = [(i, sentence(rng, rng.choice([13, 14, 20, 40]))) for i in range(6)] + [(20, "one"), (21, "Two words"), (22, ""), (23, None), (24, "the the the " * 6), (25, sentence(rng, 5))]
     long = [t for i, t in items if i < 6]
@@ -106,10 +122,30 @@ def test_decontamination(spark):
     by = {r["doc_id"]: tuple(r[c] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in got.collect()}
     for i, t in enumerate(texts):
         assert by[i] == brute_hits(t, items), i
+    # the same by shuffle joins, where nothing is few enough to send
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    again = decontam.contamination(frame(spark, texts, True), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"]: tuple(r[c] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in again.collect()} == by
     none = decontam.contamination(frame(spark, texts[:3]), spark.createDataFrame([], "item_id long, text string"))
     assert none.where("contaminated").count() == 0 and none.count() == 3
 
 
+def test_decontamination_joins_prefixes_alone(spark, monkeypatch):
+    """Many items share a passage: a document has one place a window, however many items own it."""
+    rng = random.Random(7)
+    shared = sentence(rng, 15)
+    items = [(i, shared if i % 2 else f"{shared} {sentence(rng, 3)}") for i in range(40)]
+    texts = [f"{sentence(rng, 5)} {shared} {sentence(rng, 5)}", sentence(rng, 30), *[" ".join(shared.split()[:12]) for _ in range(5)]]
+    seen = []
+    plain = decontam.cut_lineage
+    monkeypatch.setattr(decontam, "cut_lineage", lambda df: seen.append(plain(df)) or seen[-1])
+    got = decontam.contamination(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string"))
+    by = {r["doc_id"]: tuple(r[c] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in got.collect()}
+    assert [by[i] for i in range(len(texts))] == [brute_hits(t, items) for t in texts]
+    places = [df for df in seen if "at" in df.columns]
+    assert len(places) == 1 and places[0].where("doc_id = 0").count() == 3
+
+
 # ---- near-duplicates
 
 
