@@ -32,6 +32,16 @@ def words(text: Column) -> Column:
     return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
 
 
+def word_count(text: Column) -> Column:
+    """How many words a text has, counted without lower-casing it."""
+    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), lambda w: w != "")).cast("long")
+
+
+def once(value: Column, f) -> Column:
+    """f(value), with value computed once a row however often f reads it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def shingle_hashes(w: Column, n: Column, k: int) -> Column:
     """Hashes of the k-word shingles of an array of n words, by position."""
     at = F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
@@ -64,7 +74,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     documents table gives an empty one. Columns of other names pass through.
     """
     none = F.lit(0).cast("long")
-    n_words = F.size(words(F.col("text"))).cast("long")
+    n_words = word_count(F.col("text"))
     rows = cut_lineage(benchmark_windows(benchmark, window).select("item_id", F.unhex(F.md5(F.array_join("w", " ").cast("binary"))).alias("wid"), "w"))
     owners = rows.select("wid", "item_id").distinct()
     sizes = [r[0] for r in rows.select(F.least(F.size("w"), F.lit(shingle)).alias("k")).distinct().collect()]  # at most `shingle` values
@@ -93,10 +103,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     # the words of documents that have places are compared there
     of_doc = places.join(sent(prefix.select("wid", "w")), "wid").groupBy(F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).agg(F.collect_set(F.struct("at", "wid", "w")).alias("c"))
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & F.xxhash64("text").eqNullSafe(F.col("__th"))
-    read = docs.select("doc_id", "text").join(sent(of_doc, places.count()), same).select("__doc", "__th", "c", words(F.col("text")).alias("w"))
-    read = read.select("__doc", "__th", F.filter("c", lambda c: F.slice(F.col("w"), c["at"] + 1, F.size(c["w"])) == c["w"]).alias("c")).where(F.size("c") > 0)
-    hit = F.size(F.array_distinct(F.flatten(F.transform("c", lambda c: F.sequence(c["at"], c["at"] + F.size(c["w"]) - 1)))))
-    held = read.select("__doc", "__th", hit.cast("long").alias("__hit"), F.explode(F.array_distinct(F.transform("c", lambda c: c["wid"]))).alias("wid"))
+    read = docs.select("doc_id", "text").join(sent(of_doc, places.count()), same)
+    true = once(words(F.col("text")), lambda w: F.filter("c", lambda c: F.slice(w, c["at"] + 1, F.size(c["w"])) == c["w"]))
+    hit = lambda c: F.size(F.array_distinct(F.flatten(F.transform(c, lambda x: F.sequence(x["at"], x["at"] + F.size(x["w"]) - 1)))))
+    found = once(true, lambda c: F.struct(hit(c).cast("long").alias("hit"), F.array_distinct(F.transform(c, lambda x: x["wid"])).alias("wids")))
+    read = cut_lineage(read.select("__doc", "__th", found.alias("c")))
+    held = read.select("__doc", "__th", F.col("c.hit").alias("__hit"), F.explode("c.wids").alias("wid"))
     judged = held.join(sent(owners), "wid").groupBy("__doc", "__th", "__hit").agg(F.collect_set("item_id").alias("items"))
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     judged = cut_lineage(judged.select("__doc", "__th", "__hit", F.size("items").cast("long").alias("__n"), F.sha2(ids, 256).alias("__sha")))
