@@ -304,6 +304,56 @@ def test_leftover_members_are_linked(spark):
         assert got == {(1, 2)}
 
 
+def test_links_whose_sketches_differ_in_the_first_bit(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    b = 2 * rng.integers(0, 2, 512) - 1
+    far = b.copy()
+    far[rng.choice(512, 150, False)] *= -1  # not alike to b, but in buckets with it
+    close = far.copy()
+    close[[0, 243]] *= -1  # first and last bit of a sketched word
+    prints = spark.createDataFrame(list(enumerate(fingerprint.hexed(np.array([b, far, close], np.int8)))), "doc_id long, fingerprint string")
+    for block in (1, 1024):
+        assert {(r["a"], r["b"]) for r in fingerprint.near_pairs(prints, bands=1, digits=0, block=block).collect()} == {(1, 2)}
+
+
+def test_packed_likeness():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    bits = rng.integers(-1, 2, (40, 512)).astype(np.int8)
+    bits[20:30] = 2 * (bits[20:30] > 0) - 1
+    bits[30:] = bits[:10]
+    bits[30:, :50] = 0
+    bits[[5, 6]] = 0
+    column = [np.packbits(r > 0).tobytes() + np.packbits(r != 0).tobytes() for r in bits]
+    import pyarrow as pa
+
+    words = fingerprint.packed(pa.array(column))
+    i, k = (x.ravel() for x in np.indices((40, 40)))
+    assert np.array_equal(fingerprint.packed_likeness(words, words, i, k, 100), fingerprint.likeness(bits[i], bits[k]))
+
+
+def test_fingerprints_leave_no_texts_on_disk(spark):
+    import time
+
+    def left():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        found = [files.apply(i) for i in range(files.size())]
+        return {f.getName(): f.length() for f in found if f.getName().startswith("shuffle_")}
+
+    rng = random.Random(3)
+    texts = ["".join(chr(rng.randrange(33, 0x3000)) for _ in range(3000)) for _ in range(300)]
+    before = left()
+    out = fingerprint.classes(fingerprint.fingerprints(frame(spark, texts)))
+    until = time.time() + 10
+    while (size := sum(n for f, n in left().items() if f not in before)) > 300_000 and time.time() < until:
+        time.sleep(0.2)
+    assert size <= 300_000 < sum(map(len, texts))
+    assert out.count() == 300
+
+
 # ---- personal data
 
 
