@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACES = r"(?U)[\s\x1c-\x1f]+"
+TAG = "<[^>]+>"
 
 
 def squeeze(c: Column) -> Column:
@@ -66,7 +69,18 @@ def unescape(texts):
 def plain_text(c: Column) -> Column:
     """Text without HTML: entities first, then tags (so escaped tags go too), then white space."""
     plain = ~c.contains("&")
-    return squeeze(F.regexp_replace(F.when(plain, c).otherwise(unescape(F.when(~plain, c))), "<[^>]+>", " "))
+    return squeeze(F.regexp_replace(F.when(plain, c).otherwise(unescape(F.when(~plain, c))), TAG, " "))
+
+
+def plain_page(c: Column, entities: Mapping[str, str]) -> Column:
+    """The same of a page whose writer ends its entities and uses these alone; what is cut short, or another, stays as it is.
+
+    entities: each with its semicolon, and its character; they are replaced in this order. Runs of ASCII white
+    space become one blank, and blanks of any kind go from the ends.
+    """
+    for entity, char in entities.items():
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, TAG, " "), r"[ \t\n\f\r]+", " "), r"\A\p{Zs}+|\p{Zs}+\z", "")
 
 
 def fold_accents(c: Column) -> Column:

@@ -35,6 +35,20 @@ def test_plain_text_unescapes_before_it_strips(spark):
     assert col(spark, ["&lt;p&gt;a&nbsp;b</p>", None], tx.plain_text) == ["a b", None]
 
 
+def test_plain_text_of_pages_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    from cardloom.plans.queries import ORACLES, QUERIES
+
+    # entities cut short, unknown, nested and numbered; blanks of several kinds; tags over lines, empty and open
+    pages = ["<h1>a&amp;&amp</h1> b &am; c&a", "&ampx &quot &copy2 &notit; &lt;b&gt; &#39; &nbsp;", "&amp;quot; &amp;amp;lt;", "&&quot;amp; &quo<b>t;</b>", " \xa0a\xa0 b\x0bc\x1cd\u2003 \u3000", "<p\n>a\t\f\r\nb<>c<d", "", "<p></p>", None, "&copy;&middot;é😀&amp"]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = [tuple(r) for r in QUERIES["plain_text"](spark, str(tmp_path)).orderBy("page_id").collect()]
+    with duckdb.connect() as con:
+        con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        assert got == con.sql(ORACLES["plain_text"] + " ORDER BY page_id").fetchall()
+
+
 @pytest.mark.parametrize(
     ("raw", "want"),
     [("Mon, 06 May 2024 07:08:09 GMT", "2024-05-06T07:08:09Z"), ("2024-05-06T09:08:09+02:00", "2024-05-06T07:08:09Z"), ("2024-05-06T09:08:09", "now"), ("nonsense", "now"), ("", "now"), (None, "now"), ("2024-05-06T00:00:00.250Z", "2024-05-06T00:00:00.250000Z")],
