@@ -52,20 +52,24 @@ def is_secret_value(value: Column) -> Column:
     return ~is_placeholder(v) & (F.length(v) >= 12) & v.rlike(r"(?U)\p{L}") & v.rlike(r"(?U)\p{Nd}")
 
 
+#: A text without any of these holds no secret; one cheap look for most texts.
+_HINT = r"(?iU)PRIVATE KEY|bearer|cookie|passw(?:or)?d|pwd|api[_-]?key|secret|token|session"
+
+
+def _secrets_of(code: str, text: Column) -> Column:
+    """Array of a text's secrets of a kind, as they stand there."""
+    values = F.regexp_extract_all(text, F.lit(SECRETS[code]), F.lit(1))
+    if code == "secret.private_key":
+        body = lambda b: F.regexp_replace(b, r"(?U)\s+", "")
+        return F.filter(values, lambda b: (F.length(body(b)) >= 40) & ~is_placeholder(body(b)))
+    if code == "secret.cookie":
+        values = F.transform(values, lambda b: F.regexp_replace(b, r"(?s)\A[^=]*=", ""))
+    return F.filter(values, is_secret_value)
+
+
 def secret_codes(text: Column) -> Column:
     """Array of codes, one for each secret in a text, in the order of SECRETS."""
-    found = []
-    for code, pattern in SECRETS.items():
-        values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-        if code == "secret.private_key":
-            bodies = F.transform(values, lambda b: F.regexp_replace(b, r"(?U)\s+", ""))
-            hits = F.filter(bodies, lambda b: (F.length(b) >= 40) & ~is_placeholder(b))
-        elif code == "secret.cookie":
-            hits = F.filter(F.transform(values, lambda b: F.regexp_replace(b, r"(?s)\A[^=]*=", "")), is_secret_value)
-        else:
-            hits = F.filter(values, is_secret_value)
-        found.append(F.array_repeat(F.lit(code), F.size(hits)))
-    return F.flatten(F.array(*found))
+    return F.flatten(F.array(*[F.array_repeat(F.lit(code), F.size(_secrets_of(code, text))) for code in SECRETS]))
 
 
 #: Every injection pattern needs one of these; one cheap look for most texts.
@@ -79,6 +83,45 @@ def has_injection(text: Column) -> Column:
     return F.coalesce(text.rlike(_ASKED) & hit, F.lit(False))
 
 
+REDACTED = "[REDACTED]"
+
+
+def redacted(text: Column) -> Column:
+    """Text with each secret and each injected prompt replaced by a placeholder; other texts as they are, and none longer."""
+    # a lambda's argument is computed once
+    once = lambda c, f: F.get(F.transform(F.array(c), f), 0)
+
+    def without(code):
+        # the longest first, so that no secret leaves the rest of one that holds it
+        def replaced(t):
+            found = F.sort_array(F.transform(_secrets_of(code, t), lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))), False)
+            return F.aggregate(found, t, lambda acc, x: F.replace(acc, x["v"], F.lit(REDACTED)))
+
+        return replaced
+
+    hidden = text
+    for code in SECRETS:
+        hidden = once(hidden, without(code))
+    *asked, marks = INJECTIONS
+
+    def unasked(t):
+        # a mark may be shorter than the placeholder
+        clean = F.regexp_replace(t, marks, " ")
+        for p in asked:
+            clean = F.regexp_replace(clean, p, REDACTED)
+        return F.when(has_injection(t), clean).otherwise(t)
+
+    return once(F.when(text.rlike(_HINT), hidden).otherwise(text), unasked)
+
+
+def sanitized(cards: DataFrame) -> DataFrame:
+    """Cards with redacted titles and summaries; those that this changes are marked as sanitized."""
+    new = cards.withColumns({f"__{c}": redacted(F.col(c)) for c in ("title", "summary")})
+    same = F.col("title").eqNullSafe(F.col("__title")) & F.col("summary").eqNullSafe(F.col("__summary"))
+    rows = new.withColumns({"safety": F.when(same, F.col("safety")).otherwise("sanitized"), "title": F.col("__title"), "summary": F.col("__summary")})
+    return rows.select(*cards.columns)
+
+
 #: Places that the checks read; each is taken out of a card once.
 _PLACES = [f"$.{f}" for f in schemas.REQUIRED] + ["$.enrichment"] + [f"$.enrichment.{f}" for f in ("version", "enriched_at", *schemas.LIST_LIMITS)]
 
@@ -255,10 +298,6 @@ def walk_text(raw: DataFrame) -> DataFrame:
     return rows.where("s is not null").select("line_no", "item_ord", "s.*")
 
 
-#: A text without any of these holds no secret; one cheap look for most texts.
-_HINT = r"(?iU)PRIVATE KEY|bearer|cookie|passw(?:or)?d|pwd|api[_-]?key|secret|token|session"
-
-
 def secret_issues(texts: DataFrame) -> DataFrame:
     """Issues of the rows of walk_text: one for each secret."""
     codes = F.when(F.col("text").rlike(_HINT), secret_codes(F.col("text")))
