@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.sources.commits import shared_folder
+
 # Phrases that mark a card with a technique or product, and the
 # topic words of contest feeds. They must equal the card format's.
 TECHNIQUES: Mapping[str, tuple[str, ...]] = {
@@ -102,16 +105,17 @@ def match_dictionary(texts: DataFrame, dictionary: DataFrame, max_phrases: int =
 
     texts: id, text; dictionary: slug, gram. A phrase matches as phrase_regex would.
     Up to max_phrases phrases are one automaton that every worker builds and that reads each text once, without a shuffle.
-    Beyond that, each phrase meets the texts that hold its rarest word, and is looked for there. Null
+    Beyond that, digests of the texts' runs of words meet those of the phrases in a join. Null
     texts and empty phrases match nothing.
     """
+    spark = texts.sparkSession
     d = dictionary.select("slug", F.trim(folded(F.col("gram"))).alias("gram")).where(F.length("gram") > 0).distinct()
     t = texts.where("text is not null").select("id", folded(F.col("text")).alias("text"))
-    if d.limit(max_phrases + 1).count() <= max_phrases:
-        return _by_automaton(t, d)
-    words = F.regexp_extract_all("gram", F.lit(r"(?U)([\w-]+)"), F.lit(1))
-    d = d.withColumn("words", words)
-    return _by_rarest_word(t, d.where(F.size("words") > 0)).union(_by_automaton(t, d.where(F.size("words") == 0).drop("words")))
+    # found once: a dictionary may be derived from a large table
+    at = f"{shared_folder(spark)}/phrases-{uuid.uuid4().hex}"
+    d.write.parquet(at)
+    d = spark.read.schema(d.schema).parquet(at)
+    return _by_automaton(t, d) if d.count() <= max_phrases else _by_digests(t, d)
 
 
 def _by_automaton(t: DataFrame, d: DataFrame) -> DataFrame:
@@ -150,13 +154,128 @@ def _by_automaton(t: DataFrame, d: DataFrame) -> DataFrame:
     return t.mapInArrow(match, f"id {t.schema['id'].dataType.simpleString()}, slug string")
 
 
-def _by_rarest_word(t: DataFrame, d: DataFrame) -> DataFrame:
-    """d: slug, gram, words. Rarest is the word that the fewest phrases hold; its texts are few, and only they are looked at."""
-    each = d.select("slug", "gram", F.explode(F.array_distinct("words")).alias("word"))
-    held = each.groupBy("word").agg(F.count("*").alias("n"))
-    keyed = each.join(held, "word").groupBy("slug", "gram").agg(F.min_by("word", F.struct("n", "word")).alias("word"))
-    tokens = t.select("id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?U)([\w-]+)"), F.lit(1)))).alias("word"))
-    pairs = tokens.join(keyed, "word").select("id", "slug", "gram").distinct()
-    looked = pairs.join(t, "id").where(F.contains("text", "gram"))
-    whole = F.concat(F.lit(r"(?U)(?<![\w-])\Q"), F.col("gram"), F.lit(r"\E(?![\w-])"))
-    return looked.where(F.regexp_like("text", whole)).select("id", "slug").distinct()
+#: Bits of the filter that keeps runs which are no phrase from the join: at least 64 a phrase, up to the last number (32 MB).
+_LEAST_BITS, _MOST_BITS = 15, 28
+#: Odd multipliers of the two halves of a digest.
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def _tokens(text: Column) -> Column:
+    """A number for each token of a folded text: its words, and each other character by itself; words have odd numbers.
+
+    A phrase is whole tokens wherever it matches, since no word goes on before or after it.
+    """
+    found = F.regexp_extract_all(text, F.lit(r"(?U)([\w-]+|[^\w-])"), F.lit(1))
+    number = lambda x: F.xxhash64(x).bitwiseAND(-2) + F.when(x.rlike(r"(?U)\A[\w-]"), F.lit(1)).otherwise(0)
+    return F.transform(found, number)
+
+
+class _Runs:
+    """Digests of any runs of an array of tokens: sums of the tokens, each times a power of an odd number by its place in the run.
+
+    They are differences of sums from the start, taken back to the run's start by the inverse power; all by 2^64.
+    """
+
+    def __init__(self, tokens):
+        import numpy as np
+
+        self.tokens = tokens.view(np.uint64)
+        self.sums, self.back = [], []
+        for half, factor in enumerate(_FACTORS):
+            x = self.tokens if half == 0 else (self.tokens ^ (self.tokens >> np.uint64(31))) * np.uint64(_FACTORS[0])
+            n = len(x)
+            power = lambda f, n=n: np.cumprod(np.append(np.uint64(1), np.full(n, f, np.uint64)))
+            self.sums.append(np.append(np.uint64(0), np.cumsum(x * power(factor)[:n], dtype=np.uint64)))
+            self.back.append(power(pow(factor, -1, 1 << 64)))
+
+    def digest(self, half: int, start, end):
+        s = self.sums[half]
+        return (s[end] - s[start]) * self.back[half][start]
+
+
+def _phrase_digests(d: DataFrame) -> DataFrame:
+    """Rows slug, size (tokens), h1, h2 of the phrases of d (slug, gram)."""
+
+    def digests(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            tokens = batch.column("tokens")
+            ends = tokens.offsets.to_numpy().astype(np.int64)
+            runs = _Runs(tokens.values.to_numpy()[: ends[-1]])
+            halves = [pa.array(runs.digest(k, ends[:-1], ends[1:]).view(np.int64)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("slug"), pa.array(np.diff(ends), pa.int64()), *halves], ["slug", "size", "h1", "h2"])
+
+    return d.select("slug", _tokens(F.col("gram")).alias("tokens")).mapInArrow(digests, "slug string, size long, h1 long, h2 long")
+
+
+def _by_digests(t: DataFrame, d: DataFrame) -> DataFrame:
+    """The texts' runs of tokens, of the sizes that phrases have, meet the phrases by a digest of 128 bits.
+
+    A filter sent to the workers, of bounded size, lets pass the runs whose digest some phrase may have; a
+    text gives each such digest once. What it lets pass too much is lost in the join.
+    """
+    import numpy as np
+
+    spark = t.sparkSession
+    at = f"{shared_folder(spark)}/digests-{uuid.uuid4().hex}"
+    keyed = _phrase_digests(d)
+    keyed.write.parquet(at)
+    keyed = spark.read.schema(keyed.schema).parquet(at)
+    n, sizes = keyed.agg(F.count("*"), F.array_sort(F.collect_set("size"))).first()
+    bits = min(max((64 * n - 1).bit_length(), _LEAST_BITS), _MOST_BITS)
+    place = F.shiftrightunsigned("h1", 64 - bits) + 1
+    chunks = keyed.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("b")).toArrow()
+    filled = np.zeros((1 << bits - _LEAST_BITS, 1 << _LEAST_BITS - 3), np.uint8)
+    for k, chunk in zip(chunks.column("k").to_pylist(), chunks.column("b").to_pylist(), strict=True):
+        filled[k - 1] = np.frombuffer(chunk, np.uint8)
+    sent = spark.sparkContext.broadcast(filled.ravel())
+
+    def found(ends, tokens):
+        """Text number and digest halves of the runs of texts that end at these places; each text's digests once."""
+        runs, start = _Runs(tokens), np.arange(len(tokens), dtype=np.int64)
+        own = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        last, word = ends[1:][own], (tokens & 1).astype(bool)
+        # a run may not go on as a word on either side of it
+        free = np.append(True, ~word[:-1])
+        free[ends[:-1][ends[:-1] < len(free)]] = True
+        begins = word | free
+        out = []
+        for size in sizes:
+            at = start[begins & (start + size <= last)]
+            h = runs.digest(0, at, at + size)
+            place = (h >> np.uint64(64 - bits)).astype(np.int64)
+            fits = (sent.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            at, h, end = at[fits], h[fits], at[fits] + size
+            after = end < last[at]
+            whole = word[end - 1] | ~after | ~word[np.where(after, end, 0)]
+            at, h, end = at[whole], h[whole], end[whole]
+            out.append((own[at], h, runs.digest(1, at, end)))
+        k, a, b = (np.concatenate(x) for x in zip(*out, strict=True))
+        order = np.lexsort((b, a, k))
+        k, a, b = k[order], a[order], b[order]
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        return k[new], a[new].view(np.int64), b[new].view(np.int64)
+
+    def match(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            ids, tokens = batch.column("id"), batch.column("tokens")
+            ends, values = tokens.offsets.to_numpy().astype(np.int64), tokens.values.to_numpy()
+            first = 0
+            while first < len(ids):
+                # about a million tokens at a time, and at least a text
+                past = max(int(np.searchsorted(ends, ends[first] + 1_000_000, "right")) - 1, first + 1)
+                k, *halves = found(ends[first : past + 1] - ends[first], values[ends[first] : ends[past]])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(k + first)), *map(pa.array, halves)], ["id", "h1", "h2"])
+                first = past
+
+    tokens = t.select("id", _tokens(F.col("text")).alias("tokens"))
+    hits = tokens.mapInArrow(match, f"id {t.schema['id'].dataType.simpleString()}, h1 long, h2 long")
+    pairs = hits.join(keyed.select("slug", "h1", "h2"), ["h1", "h2"]).select("id", "slug")
+    # rows differ already where each text has its own id and each phrase its own slug
+    twice = [df.groupBy(c).agg(F.count("*").alias("n")).where("n > 1") for df, c in ((t, "id"), (keyed, "slug"))]
+    return pairs if all(df.isEmpty() for df in twice) else pairs.distinct()

@@ -32,6 +32,19 @@ def test_phrases_of_any_length_match_as_their_regex(spark, limit):
     assert rules.match_dictionary(t, spark.createDataFrame([("s", " "), ("n", None)], "slug string, gram string"), limit).count() == 0
 
 
+def test_phrases_of_a_long_text_are_split_once(spark, tmp_path):
+    """Split again for each of its 10,000 places, the text would take minutes."""
+    import time
+
+    from cardloom.plans.queries import QUERIES
+
+    spark.createDataFrame([(0, " ".join(f"w{i}" for i in range(40_000))), (8, "W4, w5 (w8)"), (16, ""), (24, None)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    began = time.perf_counter()
+    got = sorted(tuple(r) for r in QUERIES["dictionary_of_phrases"](spark, str(tmp_path)).collect())
+    took = time.perf_counter() - began
+    assert got == [(0, 10_000, "w0", "w9996"), (8, 2, "w4", "w8")] and took < 60
+
+
 # ---- streaks
 
 OUTCOMES = "source_url string, source_name string, run_no long, run_at timestamp, failed boolean, failed_at string, reason string, ord int"
