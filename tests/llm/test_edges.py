@@ -85,3 +85,19 @@ def test_pipeline_run(spark, folders):
 def test_toxic_rows_without_id_go(spark, folders):
     docs = spark.createDataFrame([(None, "you stupid worthless idiot, you pathetic moron!"), (None, "a quiet river")], "doc_id long, text string")
     assert kept(corpus_pipeline.drop_toxic(spark, docs, str(folders / "full"))) == [("None", "a quiet river")]
+
+
+def test_packed_bits_of_slices_and_chunks():
+    import numpy as np
+    import pyarrow as pa
+
+    from cardloom.llm import fingerprint as fp
+
+    values = [bytes([i]) * 128 for i in range(9)]
+    want = np.frombuffer(b"".join(values), np.uint64).reshape(-1, 16).T
+    one = pa.array(values, pa.binary())
+    for got, of in ((one, want), (one.slice(2, 5), want[:, 2:7]), (pa.chunked_array([one.slice(1, 3), one.slice(0, 0), one.slice(4)]), want[:, 1:]), (one.slice(0, 0), want[:, :0])):
+        assert (fp.packed(got) == of).all() and fp.packed(got).shape == of.shape
+    # lengths that would only fit together are no fingerprints
+    with pytest.raises(pa.ArrowInvalid):
+        fp.packed(pa.array([b"x" * 120, b"x" * 136], pa.binary()))
